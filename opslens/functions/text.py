@@ -12,6 +12,7 @@ ROUTE_ARROW = " → "
 
 # A word is a run of letters and digits; everything else is kept as it stands.
 _WORD_OR_GAP = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
+_PLAIN_WORDS = r"^[A-Za-z0-9 ]*\z"
 
 
 def clean_code(c: Column | str) -> Column:
@@ -30,16 +31,19 @@ def title_words(c: Column | str) -> Column:
 
     Spark's own ``initcap`` only starts a word after white space, so
     ``one-two`` would become ``One-two``; here it becomes ``One-Two``.  A letter
-    without a one-character capital (``ß``) stays as it is.
+    without a one-character capital (``ß``) stays as it is.  Text made of plain
+    letters, digits and spaces has only such words, so ``initcap`` will do there
+    and is several times cheaper.
     """
+    c = as_col(c)
 
     def capitalize(piece: Column) -> Column:
         first = F.substring(piece, 1, 1)
         capital = F.when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(first)
         return F.concat(capital, F.lower(F.substring(piece, 2, 2**31 - 1)))
 
-    pieces = F.regexp_extract_all(as_col(c), F.lit(_WORD_OR_GAP), F.lit(0))
-    return F.array_join(F.transform(pieces, capitalize), "")
+    pieces = F.regexp_extract_all(c, F.lit(_WORD_OR_GAP), F.lit(0))
+    return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).otherwise(F.array_join(F.transform(pieces, capitalize), ""))
 
 
 def route_label(origin: Column | str, destination: Column | str, arrow: str = ROUTE_ARROW) -> Column:

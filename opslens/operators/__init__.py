@@ -2,7 +2,7 @@
 
 from opslens.operators.aggregates import (
     categories,
-    exact_median,
+    distribution_stats,
     histogram,
     null_census,
     pivot_fill,
@@ -25,8 +25,8 @@ __all__ = [
     "dedup_exact",
     "dedup_first",
     "distinct_groups",
+    "distribution_stats",
     "drop_null_subset",
-    "exact_median",
     "full_merge",
     "global_rank",
     "grand_total",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import percent_rounded
+from opslens.functions.numeric import average, percent_rounded
 from opslens.operators.ranking import running_counts
 
 #: More categories than this would not be a pivot but a mistake.
@@ -59,48 +59,56 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """``(bin, lo, hi, n)`` over equal widths from minimum to maximum.
 
     The last bin is closed, empty bins are kept, and a column with one value
-    only gets a range half a unit wide on either side.
+    only gets a range half a unit wide on either side.  Two passes: the edges
+    (two numbers) are read first and are literals in the second.
     """
-    values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    edges = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    low, high = edges.select("lo").scalar(), edges.select("hi").scalar()
+    x = F.col(column).cast("double")
+    values = df.filter(F.col(column).isNotNull()).select(x.alias("x"))
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    spark = df.sparkSession
+    if low is None:
+        return spark.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
+    if low == high:
+        low, high = low - 0.5, high + 0.5
     index = F.floor((F.col("x") - low) * bins / (high - low))
     counted = (
-        values.select(F.least(index, F.lit(bins - 1)).cast("int").alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    scale = edges.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi"
+        values.select(F.least(index, F.lit(bins - 1)).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / bins
-    return scale.join(counted, "bin", "left").select(
-        (F.col("bin") + 1).cast("bigint").alias("bin"),
-        (F.col("lo") + F.col("bin") * width).alias("lo"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("hi"),
-        F.coalesce(F.col("n"), F.lit(0)).alias("n"),
+    width = (high - low) / bins
+    return (
+        spark.range(bins)
+        .withColumnRenamed("id", "bin")
+        .join(counted, "bin", "left")
+        .select(
+            (F.col("bin") + 1).alias("bin"),
+            (low + F.col("bin") * width).alias("lo"),
+            (low + (F.col("bin") + 1) * width).alias("hi"),
+            F.coalesce("n", F.lit(0)).alias("n"),
+        )
     )
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """One row, ``median``: the exact middle value, found from running counts.
+def distribution_stats(df: DataFrame, column: str) -> DataFrame:
+    """One row, ``(mean, median, max)``, all exact, from one pass over the rows.
 
     The built-in exact median keeps every distinct value in the memory of one
-    task; here no task holds more than its share of the distinct values.
+    task.  Here values are counted first and staged with the rows before them;
+    the two middle positions are then looked up and no task holds more than its
+    share of the distinct values.
     """
     present = df.filter(F.col(column).isNotNull()).select(column)
     placed = running_counts(present, [column])
-    rows = placed.agg(F.sum("key_rows")).scalar()
-    lower, upper = F.floor((rows - 1) / 2), F.floor(rows / 2)
-    until = F.col("rows_before") + F.col("key_rows")
-    hits_lower = (F.col("rows_before") <= lower) & (lower < until)
-    hits_upper = (F.col("rows_before") <= upper) & (upper < until)
-    value = F.col(column).cast("double")
-    return placed.filter(hits_lower | hits_upper).agg(
-        ((F.max(F.when(hits_lower, value)) + F.max(F.when(hits_upper, value))) / 2).alias("median")
+    rows = placed.agg(F.sum("key_rows")).first()[0] or 0
+    value = F.col(column)
+
+    def at(position: int) -> Column:
+        covers = (F.col("rows_before") <= position) & (F.col("rows_before") + F.col("key_rows") > position)
+        return F.max(F.when(covers, value.cast("double")))
+
+    return placed.agg(
+        average(F.sum(value.cast("decimal(38,0)") * F.col("key_rows")), F.sum("key_rows")).alias("mean"),
+        ((at((rows - 1) // 2) + at(rows // 2)) / 2).alias("median"),
+        F.max(value).alias("max"),
     )
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslens import functions as fx
-from opslens.operators.aggregates import exact_median, histogram, pivot_fill, value_share
+from opslens.operators.aggregates import distribution_stats, histogram, pivot_fill, value_share
 from opslens.operators.joins import full_merge, look_up
 from opslens.operators.ranking import top_k
 from opslens.operators.rows import dedup_exact, drop_null_subset
 from opslens.plans import vocabulary as v
+from opslens.sources.staging import stage
 
 
 def repair_types(flights: DataFrame, passengers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,12 +86,9 @@ def delay_histogram(flights: DataFrame, bins: int = v.DELAY_BINS, status: str =
 
 def delay_stats(flights: DataFrame, status: str = "Delayed") -> DataFrame:
     """Mean, median and longest delay of late trips; a missing delay counts as 0."""
-    late = flights.filter(F.col("flight_status") == status).select(
-        F.coalesce("delay_minutes", F.lit(0)).alias("delay")
-    )
-    return late.agg(
-        fx.average(F.sum("delay"), F.count("delay")).alias("mean_delay"), F.max("delay").alias("max_delay")
-    ).withColumn("median_delay", exact_median(late, "delay").scalar())
+    late = flights.filter(F.col("flight_status") == status)
+    stats = distribution_stats(late.select(F.coalesce("delay_minutes", F.lit(0)).alias("delay")), "delay")
+    return stats.select(*[F.col(c).alias(f"{c}_delay") for c in stats.columns])
 
 
 def revenue_pivot(passengers: DataFrame, flights: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -102,7 +100,8 @@ def revenue_pivot(passengers: DataFrame, flights: DataFrame, airlines: DataFrame
         .agg(F.sum(F.col("revenue").cast("decimal(38,0)")).alias("revenue"))
     )
     named = look_up(per_code, airlines, {"airline_iata": "iata_code"}, {"airline_name": "airline_name"})
-    return pivot_fill(named, ["airline_name"], "ticket_class", F.col("revenue"))
+    # Staged: finding the classes and filling the cells both read these few rows.
+    return pivot_fill(stage(named, "class-revenue"), ["airline_name"], "ticket_class", F.col("revenue"))
 
 
 def loyalty_mix(passengers: DataFrame, column: str = "is_frequent_flyer") -> DataFrame:

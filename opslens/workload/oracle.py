@@ -6,7 +6,8 @@ aggregation and ranks are plain windows, so a shared mistake is unlikely.
 
 from __future__ import annotations
 
-from opslens.workload.raw_views import RAW_EXPRESSIONS, raw_sql
+from opslens.workload.raw_views import raw_sql
+from opslens.workload.tables import TABLES
 
 
 def _pct(part: str, whole: str, digits: int = 1) -> str:
@@ -166,32 +167,32 @@ _SQL: dict[str, tuple[str, str]] = {
         f"SELECT flight_id, passenger_id, l_suppkey, {_GENDER} AS gender, {_CLASS} AS ticket_class FROM raw_passengers",
     ),
     "clean_severity": ("raw_incidents", f"SELECT incident_id, {_SEVERITY} AS severity FROM raw_incidents"),
-    "clean_status": ("raw_flights", f"SELECT flight_id, l_partkey, l_suppkey, {_STATUS} AS flight_status FROM raw_flights"),
+    "clean_status": ("raw_readings", f"SELECT flight_id, l_partkey, l_suppkey, {_STATUS} AS flight_status FROM raw_readings"),
     "clean_coordinates": (
         "raw_airports",
         f"""SELECT airport_id, {_COORD.format(c="latitude")} AS latitude, {_COORD.format(c="longitude")} AS longitude,
         {_ELEVATION} AS elevation_ft FROM raw_airports""",
     ),
     "clean_numeric": (
-        "raw_flights",
+        "raw_readings",
         f"""SELECT flight_id, l_partkey, l_suppkey, {_COUNT} AS passengers_onboard,
-        CAST({_CARGO} AS DOUBLE) AS cargo_kg FROM raw_flights""",
+        CAST({_CARGO} AS DOUBLE) AS cargo_kg FROM raw_readings""",
     ),
     "lenient_numbers": (
-        "raw_flights",
+        "raw_readings",
         """SELECT flight_id, l_partkey, l_suppkey, coalesce(TRY_CAST(delay_minutes AS DOUBLE), 0) AS delay_minutes,
-        TRY_CAST(cargo_kg AS DOUBLE) AS cargo_kg FROM raw_flights""",
+        TRY_CAST(cargo_kg AS DOUBLE) AS cargo_kg FROM raw_readings""",
     ),
-    "clean_delay": ("raw_flights", f"SELECT flight_id, l_partkey, l_suppkey, {_DELAY} AS delay_minutes FROM raw_flights"),
+    "clean_delay": ("raw_readings", f"SELECT flight_id, l_partkey, l_suppkey, {_DELAY} AS delay_minutes FROM raw_readings"),
     "extract_int": ("raw_airlines", f"SELECT airline_id, {_FLEET} AS fleet_size FROM raw_airlines"),
     "clean_money": (
         "raw_passengers",
         f"SELECT flight_id, passenger_id, l_suppkey, {_MONEY} AS ticket_price_idr FROM raw_passengers",
     ),
     "clean_timestamp": (
-        "raw_flights",
-        f"""SELECT flight_id, l_partkey, l_suppkey, {", ".join(_STAMP.format(c=c) + " AS " + c for c in _TIMES)}
-        FROM raw_flights""",
+        "raw_stamps",
+        f"""SELECT o_orderkey, {_STAMP.format(c="scheduled_dep")} AS scheduled_dep,
+        {_STAMP.format(c="scheduled_arr")} AS scheduled_arr FROM raw_stamps""",
     ),
     "clean_date": (
         "raw_passengers",
@@ -222,8 +223,8 @@ _SQL: dict[str, tuple[str, str]] = {
         JOIN (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') c ON user_id = c_custkey""",
     ),
     "status_filter": (
-        "raw_flights airlines",
-        """SELECT flight_id, l_partkey, l_suppkey, upper(trim(airline_iata)) AS airline_iata FROM raw_flights
+        "raw_readings airlines",
+        """SELECT flight_id, l_partkey, l_suppkey, upper(trim(airline_iata)) AS airline_iata FROM raw_readings
         JOIN (SELECT iata_code FROM airlines WHERE status = 'active') a ON upper(trim(airline_iata)) = iata_code""",
     ),
     "pipeline_places": ("airports", "SELECT * FROM airports"),
@@ -387,12 +388,12 @@ _SQL: dict[str, tuple[str, str]] = {
         FROM incidents i JOIN flights f ON i.flight_id = f.flight_id JOIN {_CARRIERS} GROUP BY airline_name""",
     ),
     "quality_report": (
-        " ".join(f"raw_{t} {t}" for t in RAW_EXPRESSIONS),
+        " ".join(f"raw_{t} {t}" for t in TABLES),
         " UNION ALL ".join(
             f"""SELECT '{t}' AS table_name, r AS raw_rows, c AS clean_rows, r - c AS removed,
             {_pct("r - c", "r")} AS removed_pct
             FROM (SELECT (SELECT count(*) FROM raw_{t}) AS r, (SELECT count(*) FROM {t}) AS c) q"""
-            for t in RAW_EXPRESSIONS
+            for t in TABLES
         ),
     ),
     "trip_frame": (
@@ -473,7 +474,11 @@ _SQL: dict[str, tuple[str, str]] = {
         (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY 1) s,
         (SELECT CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS t FROM lineitem) q""",
     ),
-    "exact_median": ("", "SELECT median(l_partkey) AS median FROM lineitem"),
+    "distribution_stats": (
+        "",
+        f"""SELECT {_mean("CAST(sum(l_partkey) AS BIGINT)", "count(l_partkey)", 4)} AS mean, median(l_partkey) AS median,
+        max(l_partkey) AS max FROM lineitem""",
+    ),
     "value_share": (
         "",
         f"""SELECT o_orderpriority, n, {_pct("n", "t")} AS pct FROM

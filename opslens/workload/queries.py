@@ -106,7 +106,7 @@ def clean_severity(w: Warehouse) -> DataFrame:
 @query
 def clean_status(w: Warehouse) -> DataFrame:
     status = fx.normalize_enum("flight_status", v.STATUS_WORDS, v.STATUS_DEFAULT, trim=True)
-    return w.raw("flights").select("flight_id", "l_partkey", "l_suppkey", status.alias("flight_status"))
+    return w.raw("readings").select("flight_id", "l_partkey", "l_suppkey", status.alias("flight_status"))
 
 
 @query
@@ -121,7 +121,7 @@ def clean_coordinates(w: Warehouse) -> DataFrame:
 
 @query
 def clean_numeric(w: Warehouse) -> DataFrame:
-    return w.raw("flights").select(
+    return w.raw("readings").select(
         "flight_id",
         "l_partkey",
         "l_suppkey",
@@ -132,7 +132,7 @@ def clean_numeric(w: Warehouse) -> DataFrame:
 
 @query
 def lenient_numbers(w: Warehouse) -> DataFrame:
-    return w.raw("flights").select(
+    return w.raw("readings").select(
         "flight_id",
         "l_partkey",
         "l_suppkey",
@@ -144,7 +144,7 @@ def lenient_numbers(w: Warehouse) -> DataFrame:
 @query
 def clean_delay(w: Warehouse) -> DataFrame:
     delay = fx.parse_int("delay_minutes", signed=True, floor=0)
-    return w.raw("flights").select("flight_id", "l_partkey", "l_suppkey", delay.alias("delay_minutes"))
+    return w.raw("readings").select("flight_id", "l_partkey", "l_suppkey", delay.alias("delay_minutes"))
 
 
 @query
@@ -160,10 +160,8 @@ def clean_money(w: Warehouse) -> DataFrame:
 
 @query
 def clean_timestamp(w: Warehouse) -> DataFrame:
-    times = ("scheduled_dep", "scheduled_arr", "actual_dep", "actual_arr")
-    return w.raw("flights").select(
-        "flight_id", "l_partkey", "l_suppkey", *[fx.parse_timestamp(c).alias(c) for c in times]
-    )
+    times = ("scheduled_dep", "scheduled_arr")
+    return w.raw("stamps").select("o_orderkey", *[fx.parse_timestamp(c).alias(c) for c in times])
 
 
 @query
@@ -212,7 +210,7 @@ def ref_filter(w: Warehouse) -> DataFrame:
 
 @query
 def status_filter(w: Warehouse) -> DataFrame:
-    trips = w.raw("flights").withColumn("airline_iata", fx.clean_code("airline_iata"))
+    trips = w.raw("readings").withColumn("airline_iata", fx.clean_code("airline_iata"))
     active = F.col("status") == v.ACTIVE_STATUS
     kept = op.ref_filter(trips, w.clean("airlines"), {"airline_iata": "iata_code"}, active)
     return kept.select("flight_id", "l_partkey", "l_suppkey", "airline_iata")
@@ -441,8 +439,9 @@ def share_of_total(w: Warehouse) -> DataFrame:
 
 
 @query
-def exact_median(w: Warehouse) -> DataFrame:
-    return op.exact_median(table(w.spark, w.sf_dir, "lineitem"), "l_partkey")
+def distribution_stats(w: Warehouse) -> DataFrame:
+    stats = op.distribution_stats(table(w.spark, w.sf_dir, "lineitem"), "l_partkey")
+    return stats.withColumn("mean", F.round("mean", 4))
 
 
 @query

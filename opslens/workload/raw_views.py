@@ -132,6 +132,31 @@ RAW_EXPRESSIONS: dict[str, dict[str, str]] = {
     },
 }
 
+#: Texts that come from one driver table, for operators that need no joined trip.
+_FLIGHT = RAW_EXPRESSIONS["flights"]
+RAW_EXPRESSIONS["readings"] = {
+    c: _FLIGHT[c]
+    for c in (
+        "flight_id",
+        "delay_minutes",
+        "flight_status",
+        "passengers_onboard",
+        "cargo_kg",
+        "actual_arr",
+        "airline_iata",
+        "l_partkey",
+        "l_suppkey",
+    )
+}
+RAW_EXPRESSIONS["stamps"] = {
+    "o_orderkey": "o_orderkey",
+    "scheduled_dep": _FLIGHT["scheduled_dep"],
+    "scheduled_arr": (
+        "CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'later' "
+        "WHEN 2 THEN '2023-02-30 10:00' ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 23:05') END"
+    ),
+}
+
 #: FROM clauses for DuckDB; the Spark side builds the same rows in ``raw_base``.
 DUCKDB_FROM = {
     "airports": "nation JOIN region ON n_regionkey = r_regionkey, (SELECT unnest([0, 1]) AS k) twice",
@@ -141,6 +166,8 @@ DUCKDB_FROM = {
         "JOIN supplier ON l_suppkey = s_suppkey"
     ),
     "passengers": "lineitem",
+    "readings": "lineitem",
+    "stamps": "orders",
     "incidents": "events, (SELECT unnest([0, 1]) AS k) twice",
 }
 
@@ -172,8 +199,10 @@ def raw_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         )
-    if name == "passengers":
+    if name in ("passengers", "readings"):
         return t("lineitem")
+    if name == "stamps":
+        return t("orders")
     if name == "incidents":
         return _twice(t("events"))
     raise KeyError(name)
