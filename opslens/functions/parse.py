@@ -139,9 +139,7 @@ def parse_timestamp(c: Column | str, mode: str = "permissive") -> Column:
 def parse_date(c: Column | str, mode: str = "permissive") -> Column:
     """``yyyy-MM-dd`` text to DATE."""
     c = as_col(c)
-    if mode == "strict":
-        return c.cast("date")
-    return F.when(c.rlike(_DAY_STAMP), c.try_cast("date"))
+    return _convert(c if mode == "strict" else F.when(c.rlike(_DAY_STAMP), c), "date", mode)
 
 
 def lenient_double(c: Column | str, fill: float | None = None) -> Column:

@@ -12,7 +12,12 @@ ROUTE_ARROW = " → "
 
 # A word is a run of letters and digits; everything else is kept as it stands.
 _WORD_OR_GAP = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
-_PLAIN_WORDS = r"^[A-Za-z0-9 ]*\z"
+_GAP_BUT_SPACE = r"([^\p{L}\p{N} ])"
+
+# Western text whose letters all have a capital of one character (no ß, ŉ or İ),
+# and which does not hold the mark itself.
+_WORD_MARK = "\u0001 "
+_WESTERN = r"^[\u0002-Þà-įı-ňŊ-ſ]*\z"
 
 
 def clean_code(c: Column | str) -> Column:
@@ -29,13 +34,17 @@ def clean_label(c: Column | str, lower: bool = False) -> Column:
 def title_words(c: Column | str) -> Column:
     """Upper-case the first character of every alphanumeric run, lower-case the rest.
 
-    Spark's own ``initcap`` only starts a word after white space, so
-    ``one-two`` would become ``One-two``; here it becomes ``One-Two``.  A letter
-    without a one-character capital (``ß``) stays as it is.  Text made of plain
-    letters, digits and spaces has only such words, so ``initcap`` will do there
-    and is several times cheaper.
+    Spark's own ``initcap`` only starts a word after a space, so ``one-two``
+    would become ``One-two``; here it becomes ``One-Two``.  A letter without a
+    one-character capital (``ß``) stays as it is.
+
+    Western text is marked so that every word follows a space, goes through
+    ``initcap`` and loses its marks again; that is several times cheaper than
+    taking the text apart, which is left for the rest.
     """
     c = as_col(c)
+    marked = F.regexp_replace(c, _GAP_BUT_SPACE, f"$1{_WORD_MARK}")
+    quick = F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
     def capitalize(piece: Column) -> Column:
         first = F.substring(piece, 1, 1)
@@ -43,7 +52,7 @@ def title_words(c: Column | str) -> Column:
         return F.concat(capital, F.lower(F.substring(piece, 2, 2**31 - 1)))
 
     pieces = F.regexp_extract_all(c, F.lit(_WORD_OR_GAP), F.lit(0))
-    return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).otherwise(F.array_join(F.transform(pieces, capitalize), ""))
+    return F.when(c.rlike(_WESTERN), quick).otherwise(F.array_join(F.transform(pieces, capitalize), ""))
 
 
 def route_label(origin: Column | str, destination: Column | str, arrow: str = ROUTE_ARROW) -> Column:

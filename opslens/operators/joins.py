@@ -28,7 +28,7 @@ def look_up(
         *[F.col(theirs).alias(ours) for ours, theirs in on.items()],
         *[F.col(theirs).alias(ours) for theirs, ours in columns.items()],
     )
-    return fact.join(picked, list(on), how)
+    return fact.join(picked, list(on), how).select(*fact.columns, *columns.values())
 
 
 def left_detail(parent: DataFrame, detail: DataFrame, key: str) -> DataFrame:

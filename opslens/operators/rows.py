@@ -73,4 +73,4 @@ def ref_filter(
     if where is not None:
         dimension = dimension.filter(where)
     keys = dimension.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()])
-    return df.join(keys, list(on), "left_semi")
+    return df.join(keys, list(on), "left_semi").select(*df.columns)
