@@ -16,13 +16,17 @@ _CSV_COMMON = {
     "header": "true",
     "escape": '"',
     "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
+# Written "" is an empty text and nothing at all is NULL.  The reader would take
+# both for NULL, so it is told to spell the empty text in a way no source does.
+_EMPTY_TEXT = "\ue000empty\ue000"
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -33,8 +37,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     ``multiLine`` is on because free text may hold line breaks; a file is then
     one task, which is why ``write_csv`` bounds the size of its files.
     """
-    options = {**_CSV_COMMON, "emptyValue": "", "multiLine": "true", "mode": "FAILFAST"}
-    return spark.read.schema(schema).options(**options).csv(path)
+    options = {**_CSV_COMMON, "emptyValue": _EMPTY_TEXT, "multiLine": "true", "mode": "FAILFAST"}
+    df = spark.read.schema(schema).options(**options).csv(path)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(c) == _EMPTY_TEXT, F.lit("")).otherwise(F.col(c)) for c in texts})
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

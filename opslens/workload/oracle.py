@@ -94,7 +94,8 @@ _CLEAN: dict[str, tuple[list[str], str]] = {
             {", ".join(_STAMP.format(c=c) + " AS " + c for c in _TIMES)},
             {_COUNT} AS passengers_onboard, {_CARGO} AS cargo_kg
         FROM (SELECT * FROM raw_flights
-              QUALIFY row_number() OVER (PARTITION BY flight_id ORDER BY l_partkey, l_suppkey) = 1) f
+              QUALIFY row_number() OVER (PARTITION BY flight_id
+                                         ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity) = 1) f
         JOIN (SELECT iata_code AS carrier FROM airlines WHERE status = 'active') a ON upper(trim(airline_iata)) = carrier
         JOIN (SELECT iata_code AS o FROM airports) po ON upper(trim(origin_iata)) = o
         JOIN (SELECT iata_code AS d FROM airports) pd ON upper(trim(destination_iata)) = d""",
@@ -106,7 +107,7 @@ _CLEAN: dict[str, tuple[list[str], str]] = {
             {_DAY.format(c="booking_date")} AS booking_date, {_BOOL2.format(c="frequent_flyer")} AS is_frequent_flyer
         FROM raw_passengers WHERE full_name IS NOT NULL AND trim(full_name) <> '' AND flight_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY flight_id, lower(trim(full_name)), booking_date
-                                   ORDER BY passenger_id, l_suppkey) = 1""",
+                                   ORDER BY passenger_id, l_suppkey, l_quantity) = 1""",
     ),
     "incidents": (
         ["raw_incidents", "flights"],
@@ -204,7 +205,8 @@ _SQL: dict[str, tuple[str, str]] = {
         "",
         """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag
         FROM lineitem QUALIFY row_number() OVER
-        (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1""",
+        (PARTITION BY l_orderkey, l_linenumber
+         ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_returnflag, l_linestatus) = 1""",
     ),
     "dedup_exact": ("", "SELECT DISTINCT text, lang, source FROM documents"),
     "reject_incomplete": (

@@ -15,7 +15,7 @@ from opslens.plans import quality, reports, summaries
 from opslens.plans import vocabulary as v
 from opslens.session import apply_defaults
 from opslens.sources.staging import new_path
-from opslens.workload.raw_views import table
+from opslens.workload.raw_views import LINE_ORDER, table
 from opslens.workload.tables import TABLES, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,7 +179,7 @@ def title_case(w: Warehouse) -> DataFrame:
 @query
 def dedup_first(w: Warehouse) -> DataFrame:
     lines = table(w.spark, w.sf_dir, "lineitem")
-    first = op.dedup_first(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    first = op.dedup_first(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER)
     return first.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
 
 

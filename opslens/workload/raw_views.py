@@ -90,6 +90,9 @@ RAW_EXPRESSIONS: dict[str, dict[str, str]] = {
         ),
         "l_partkey": "l_partkey",
         "l_suppkey": "l_suppkey",
+        "l_extendedprice": "l_extendedprice",
+        "l_shipdate": "l_shipdate",
+        "l_quantity": "l_quantity",
     },
     "passengers": {
         "passenger_id": "l_partkey",
@@ -117,6 +120,7 @@ RAW_EXPRESSIONS: dict[str, dict[str, str]] = {
         ),
         "frequent_flyer": "CASE l_partkey % 4 WHEN 0 THEN 'YES' WHEN 1 THEN 'no' WHEN 2 THEN '1' ELSE NULL END",
         "l_suppkey": "l_suppkey",
+        "l_quantity": "l_quantity",
     },
     "incidents": {
         "incident_id": "event_id * 2 + k",
@@ -171,9 +175,11 @@ DUCKDB_FROM = {
     "incidents": "events, (SELECT unnest([0, 1]) AS k) twice",
 }
 
-#: Columns that put records with the same id in order of arrival.
-FLIGHT_ORDER = ["l_partkey", "l_suppkey"]
-PASSENGER_ORDER = ["passenger_id", "l_suppkey"]
+#: Columns that put records with the same id in order of arrival.  They cover every
+#: source column a record is made of, so records that tie are equal.
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus"]
+FLIGHT_ORDER = LINE_ORDER[:5]
+PASSENGER_ORDER = ["passenger_id", "l_suppkey", "l_quantity"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
