@@ -94,13 +94,16 @@ def parse_int(
 def parse_count(c: Column | str, mode: str = "permissive") -> Column:
     """Unsigned decimal text rounded half up to INT (fractional head counts).
 
-    The first fractional digit alone decides, so the text is cut after it and
-    the rounding is exact for any number of digits.
+    The first fractional digit alone decides, so the rounding is exact for any
+    number of digits.
     """
     c = as_col(c)
-    head = F.regexp_substr(c, F.lit(r"^[0-9]+\.?[0-9]?"))
-    rounded = F.round(_convert(head, T.DecimalType(38, 1), mode), 0)
-    return F.when(c.rlike(UNSIGNED_DECIMAL), _to_integer(rounded, "int", mode))
+    whole = F.substring_index(c, ".", 1)
+    up = F.substr(c, F.length(whole) + 2, F.lit(1)) >= "5"
+    value = _to_integer(whole, "bigint", mode) + F.when(up, 1).otherwise(0)
+    if mode == "permissive":
+        value = F.when(value <= _INT_LIMITS["int"][1], value)
+    return F.when(c.rlike(UNSIGNED_DECIMAL), value.cast("int"))
 
 
 def first_int(c: Column | str, mode: str = "permissive") -> Column:
@@ -132,8 +135,10 @@ def parse_timestamp(c: Column | str, mode: str = "permissive") -> Column:
     c = as_col(c)
     stamp = F.regexp_substr(c, F.lit(_MINUTE_STAMP))
     if mode == "strict":
-        stamp = F.coalesce(stamp, c)
-    return _convert(stamp, "timestamp_ntz", mode)
+        return _convert(F.coalesce(stamp, c), "timestamp_ntz", mode)
+    # The usual spelling needs no search: the cast checks the rest of it.
+    usual = (F.length(c) == 16) & (F.substring(c, 11, 1) == " ") & (F.substring(c, 14, 1) == ":")
+    return _convert(F.when(usual, c).otherwise(stamp), "timestamp_ntz", mode)
 
 
 def parse_date(c: Column | str, mode: str = "permissive") -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import average, percent_rounded
-from opslens.operators.ranking import running_counts
+from opslens.functions.numeric import average
+from opslens.operators.ranking import running_counts, share_of_total
 
 #: More categories than this would not be a pivot but a mistake.
 MAX_CATEGORIES = 1_000
@@ -17,10 +17,7 @@ MAX_CATEGORIES = 1_000
 def value_share(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
     """``(column, n, pct)`` per value, most frequent first; NULL is left out."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    whole = df.agg(F.count(F.col(column))).scalar()
-    return counts.withColumn("pct", percent_rounded("n", whole, digits)).orderBy(
-        F.col("n").desc(), F.col(column).asc()
-    )
+    return share_of_total(counts, "n", "pct", digits).orderBy(F.col("n").desc(), F.col(column).asc())
 
 
 def categories(df: DataFrame, column: str) -> list[str]:

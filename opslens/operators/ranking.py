@@ -93,9 +93,14 @@ def grand_total(df: DataFrame, column: str) -> Column:
     return df.agg(F.sum(F.col(column).cast("decimal(38,0)"))).scalar()
 
 
-def share_of_total(df: DataFrame, column: str, name: str, digits: int = 1) -> DataFrame:
-    """Add 100 · column / total, rounded, without a window over all rows."""
-    return df.withColumn(name, percent_rounded(column, grand_total(df, column), digits))
+def share_of_total(df: DataFrame, column: str, name: str, digits: int = 1, staged: bool = False) -> DataFrame:
+    """Add 100 · column / total, rounded, without a window over all rows.
+
+    The input is staged (unless the caller has done so): total and shares both
+    read it, and what it was computed from is read once.
+    """
+    table = df if staged else stage(df, "to-share")
+    return table.withColumn(name, percent_rounded(column, grand_total(table, column), digits))
 
 
 def top_k(df: DataFrame, measure: str, tie_break: Sequence[str], k: int) -> DataFrame:

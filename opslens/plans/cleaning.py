@@ -59,27 +59,26 @@ def clean_flights(
     ``flight_id`` is taken to be unique.  Where a source repeats it, name the
     columns that tell the first record in ``first_by``.
     """
-    if first_by is not None:
-        raw = dedup_first(raw, ["flight_id"], first_by)
-    coded = raw.withColumns(
-        {c: fx.clean_code(c) for c in ("flight_number", "airline_iata", "origin_iata", "destination_iata")}
-    )
-    kept = ref_filter(coded, airlines, {"airline_iata": "iata_code"}, F.col("status") == v.ACTIVE_STATUS)
-    kept = ref_filter(kept, airports, {"origin_iata": "iata_code"})
-    kept = ref_filter(kept, airports, {"destination_iata": "iata_code"})
+    codes = ("flight_number", "airline_iata", "origin_iata", "destination_iata")
     times = ("scheduled_dep", "scheduled_arr", "actual_dep", "actual_arr")
-    return kept.select(
+    typed = raw.select(
         "flight_id",
-        "flight_number",
-        "airline_iata",
-        "origin_iata",
-        "destination_iata",
+        *[fx.clean_code(c).alias(c) for c in codes],
         fx.normalize_enum("flight_status", v.STATUS_WORDS, v.STATUS_DEFAULT, trim=True).alias("flight_status"),
         fx.parse_int("delay_minutes", signed=True, floor=0, mode=mode).alias("delay_minutes"),
         *[fx.parse_timestamp(c, mode=mode).alias(c) for c in times],
         fx.parse_count("passengers_onboard", mode=mode).alias("passengers_onboard"),
         fx.parse_decimal("cargo_kg", 18, 3, mode=mode).alias("cargo_kg"),
+        *[F.col(c).alias(f"__order_{c}") for c in first_by or ()],
     )
+    columns = [c for c in typed.columns if not c.startswith("__order_")]
+    if first_by is not None:
+        # After parsing: numbers and times are a fraction of their texts in the exchange.
+        typed = dedup_first(typed, ["flight_id"], [f"__order_{c}" for c in first_by])
+    kept = typed.select(*columns)
+    kept = ref_filter(kept, airlines, {"airline_iata": "iata_code"}, F.col("status") == v.ACTIVE_STATUS)
+    kept = ref_filter(kept, airports, {"origin_iata": "iata_code"})
+    return ref_filter(kept, airports, {"destination_iata": "iata_code"})
 
 
 def clean_passengers(

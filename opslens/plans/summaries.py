@@ -9,7 +9,7 @@ from opslens import functions as fx
 from opslens.operators.aggregates import distribution_stats, histogram, pivot_fill, value_share
 from opslens.operators.joins import full_merge, look_up
 from opslens.operators.ranking import top_k
-from opslens.operators.rows import dedup_exact, drop_null_subset
+from opslens.operators.rows import drop_null_subset
 from opslens.plans import vocabulary as v
 from opslens.sources.staging import stage
 
@@ -122,26 +122,28 @@ def incident_pivot(incidents: DataFrame, flights: DataFrame, airlines: DataFrame
     """Incidents per carrier with one column per known severity, always all four.
 
     A carrier whose incidents all have an unknown severity stays, with zeros.
+    Trips are unique on their id, so the join repeats no incident.
     """
-    carriers = dedup_exact(
-        look_up(flights, airlines, {"airline_iata": "iata_code"}, {"airline_name": "airline_name"}, "left"),
-        ["flight_id", "airline_name"],
-    )
     per_trip = incidents.groupBy("flight_id", "severity").agg(F.count(F.lit(1)).alias("n"))
-    merged = drop_null_subset(per_trip.join(carriers, "flight_id", "left"), ["airline_name"])
-    return pivot_fill(merged, ["airline_name"], "severity", F.col("n"), v.SEVERITY_ORDER)
+    per_code = (
+        per_trip.join(flights.select("flight_id", "airline_iata"), "flight_id", "left")
+        .groupBy("airline_iata", "severity")
+        .agg(F.sum("n").alias("n"))
+    )
+    merged = look_up(per_code, airlines, {"airline_iata": "iata_code"}, {"airline_name": "airline_name"}, "left")
+    return pivot_fill(
+        drop_null_subset(merged, ["airline_name"]), ["airline_name"], "severity", F.col("n"), v.SEVERITY_ORDER
+    )
 
 
 def top_places(flights: DataFrame, airports: DataFrame, k: int = v.TOP_PLACES) -> DataFrame:
     """The ``k`` places with most movements, fewest first; ties go to the lower code."""
-    departures = flights.groupBy("origin_iata").agg(F.count(F.lit(1)).alias("departures"))
-    arrivals = flights.groupBy(F.col("destination_iata").alias("origin_iata")).agg(
-        F.count(F.lit(1)).alias("arrivals")
-    )
+    # Both sides start from the same grouped routes, so the trips are read once.
+    routes = flights.groupBy("origin_iata", "destination_iata").agg(F.count(F.lit(1)).alias("n"))
+    departures = routes.groupBy("origin_iata").agg(F.sum("n").alias("departures"))
+    arrivals = routes.groupBy(F.col("destination_iata").alias("origin_iata")).agg(F.sum("n").alias("arrivals"))
     busy = full_merge(
-        departures.filter(F.col("origin_iata").isNotNull()),
-        arrivals.filter(F.col("origin_iata").isNotNull()),
-        ["origin_iata"],
+        drop_null_subset(departures, ["origin_iata"]), drop_null_subset(arrivals, ["origin_iata"]), ["origin_iata"]
     ).withColumn("total", F.col("departures") + F.col("arrivals"))
     first = top_k(busy, "total", ["origin_iata"], k)
     named = look_up(

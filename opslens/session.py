@@ -6,8 +6,11 @@ from pyspark.sql import SparkSession
 
 #: Runtime SQL settings.  They ask for what the plans are written for: runtime
 #: re-planning, splitting of skewed join partitions even where that costs one
-#: more exchange, and zone-free text to time conversion.
+#: more exchange, and zone-free text to time conversion.  The method limit is the
+#: size up to which the JVM compiles a method: the long projections of the
+#: cleaning pipelines would otherwise be fused into one method it only interprets.
 SQL_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

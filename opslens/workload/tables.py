@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from opslens.plans import cleaning
@@ -25,7 +27,15 @@ class Warehouse:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, name)
+        """A raw table; trips are put together from four sources and so are landed."""
+        view = raw_table(self.spark, self.sf_dir, name)
+        return self._stored(f"raw-{name}", lambda: view) if name == "flights" else view
+
+    def _stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
+        if key not in _BUILT:
+            _BUILT[key] = stage(build(), label)
+        return _BUILT[key]
 
     def pipeline(self, name: str) -> DataFrame:
         """The cleaning plan of a table, not yet stored."""
@@ -46,10 +56,7 @@ class Warehouse:
 
     def clean(self, name: str) -> DataFrame:
         """The stored cleaned table."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _BUILT:
-            _BUILT[key] = stage(self.pipeline(name), f"clean-{name}")
-        return _BUILT[key]
+        return self._stored(f"clean-{name}", lambda: self.pipeline(name))
 
     def cleaned(self, *names: str) -> list[DataFrame]:
         return [self.clean(n) for n in names]
