@@ -17,7 +17,7 @@ from opslens.functions.numeric import percent_rounded
 from opslens.sources.staging import stage
 
 #: Up to this many rows are ranked by one task; the size is counted first.
-ONE_TASK_ROWS = 200_000
+ONE_TASK_ROWS = 1_000_000
 
 
 def _sort_column(name: str, descending: bool) -> Column:
