@@ -35,9 +35,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     """CSV with a header and a declared schema.
 
     ``multiLine`` is on because free text may hold line breaks; a file is then
-    one task, which is why ``write_csv`` bounds the size of its files.
+    one task, which is why ``write_csv`` bounds the size of its files.  A header
+    that does not fit the schema fails the read instead of shifting columns.
     """
-    options = {**_CSV_COMMON, "emptyValue": _EMPTY_TEXT, "multiLine": "true", "mode": "FAILFAST"}
+    options = {
+        **_CSV_COMMON,
+        "emptyValue": _EMPTY_TEXT,
+        "multiLine": "true",
+        "mode": "FAILFAST",
+        "enforceSchema": "false",
+    }
     df = spark.read.schema(schema).options(**options).csv(path)
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: F.when(F.col(c) == _EMPTY_TEXT, F.lit("")).otherwise(F.col(c)) for c in texts})
@@ -83,8 +90,15 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def _read_cached(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The cached table, or None if there is none (a failed write leaves a folder without files)."""
+    try:
+        df = read_csv(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return df if df.inputFiles() else None
 
 
 def load_tables(
@@ -95,21 +109,17 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Tables from their CSV cache if all are there, else from ``source``.
 
-    In the second case the cache is written first and the tables are read back
-    from it, so both ways return the same rows.
+    A cached table is ``<name>.csv``, one file or a folder of them.  In the
+    second case the cache is written first and the tables are read back from
+    it, so both ways return the same rows.
     """
-
-    def cached() -> dict[str, DataFrame]:
-        return {name: read_csv(spark, f"{cache_dir}/{name}", schema) for name, schema in schemas.items()}
-
-    try:
-        return cached()
-    except AnalysisException as error:
-        if not _is_missing(error):
-            raise
-    for name in schemas:
-        write_csv(source(name), f"{cache_dir}/{name}")
-    return cached()
+    paths = {name: f"{cache_dir}/{name}.csv" for name in schemas}
+    cached = {name: _read_cached(spark, paths[name], schema) for name, schema in schemas.items()}
+    if all(df is not None for df in cached.values()):
+        return cached
+    for name, path in paths.items():
+        write_csv(source(name), path)
+    return {name: read_csv(spark, paths[name], schema) for name, schema in schemas.items()}
 
 
 def load_profile(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime
 
 import pytest
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 
 from opslens import sources as io
 from opslens.sources import staging
@@ -19,7 +21,7 @@ def df(spark):
 
 
 def same(df, rows=ROWS):
-    return sorted(tuple(r) for r in df.collect()) == sorted(rows)
+    return sorted((tuple(r) for r in df.collect()), key=str) == sorted(rows, key=str)
 
 
 def test_csv_round_trip_keeps_blanks_nulls_quotes_and_line_breaks(spark, df, tmp_path):
@@ -42,13 +44,31 @@ def test_cached_load_reads_the_source_once(spark, df, tmp_path):
 
 
 def test_cached_load_needs_every_file(spark, df, tmp_path):
-    io.write_csv(df, f"{tmp_path}/one")
+    io.write_csv(df, f"{tmp_path}/one.csv")
     asked = []
     schemas = {"one": df.schema, "two": df.schema}
     io.load_tables(spark, schemas, str(tmp_path), lambda name: asked.append(name) or df)
     assert asked == ["one", "two"]
 
 
+def test_folder_of_a_failed_write_is_not_a_cache(spark, df, tmp_path):
+    (tmp_path / "one.csv").mkdir()
+    loaded = io.load_tables(spark, {"one": df.schema}, str(tmp_path), lambda name: df)
+    assert same(loaded["one"])
+
+
+def test_one_plain_file_is_a_cache(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('id,a\n1,x\n2,""\n3,\n')
+    loaded = io.load_tables(spark, {"one": "id bigint, a string"}, str(tmp_path), lambda name: pytest.fail(name))
+    assert same(loaded["one"], [(1, "x"), (2, ""), (3, None)])
+
+
+def test_header_must_fit_the_schema(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,id\nx,1\n")
+    with pytest.raises((PySparkException, Py4JError), match="CSV header"):
+        io.read_csv(spark, f"{tmp_path}/one.csv", "id string, a string").collect()
+
+
 def test_append_and_replace(spark, df, tmp_path):
     path = f"{tmp_path}/table"
     io.append_rows(df, path)
