@@ -28,7 +28,9 @@ def staging_root(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _LOCAL_ROOT.setdefault(app, tempfile.mkdtemp(prefix="opslens-"))
+        if app not in _LOCAL_ROOT:
+            _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="opslens-")
+        shared = _LOCAL_ROOT[app]
     return f"{shared.rstrip('/')}/opslens/{app}"
 
 
