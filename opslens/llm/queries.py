@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import mixing, repacking, wavelet
+from opslens.llm import decision_list, mixing, repacking, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, the base rule and the learned rules' verdict of every document."""
+    found, _ = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 ids."""
     found = repacking.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -37,4 +45,4 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op6_repacking, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op6_repacking, op9_mixing)}
