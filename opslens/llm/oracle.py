@@ -39,3 +39,28 @@ SELECT doc_id, size, source_size, target,
        ((floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM rated
 """
+
+ORACLE_SQL["op7_line_frequency"] = r"""
+WITH visible AS (
+    SELECT page_id, nullif(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), '') AS host,
+           regexp_replace(regexp_replace(regexp_replace(html,
+               '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', chr(10), 'g'),
+               '(?is)</?(p|br|div|li|ul|ol|nav|h[1-6]|title|head|body|html|article|section|header|footer|table|tr|td|th|meta|!doctype)\b[^>]*>',
+               chr(10), 'g'), '<[^>]*>', '', 'g') AS text
+    FROM pages
+), lines AS (
+    SELECT page_id, host, pos, line, trim(line, E' \t\n\x0b\x0c\r') AS bare
+    FROM (SELECT page_id, host, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+          FROM (SELECT page_id, host, string_split(text, chr(10)) AS l FROM visible))
+), totals AS (SELECT host, count(*) AS total FROM visible GROUP BY host
+), often AS (
+    SELECT host, bare FROM (SELECT host, bare, count(DISTINCT page_id) AS pages FROM lines
+                            WHERE bare <> '' AND host IS NOT NULL GROUP BY host, bare) JOIN totals USING (host)
+    WHERE pages >= 5 AND pages > 0.2 * total
+), marked AS (
+    SELECT l.*, o.bare IS NOT NULL AS gone FROM lines l LEFT JOIN often o ON l.host = o.host AND l.bare = o.bare
+)
+SELECT page_id, any_value(host) AS host, sum((bare <> '')::INT)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept
+FROM marked GROUP BY page_id
+"""

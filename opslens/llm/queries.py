@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import decision_list, mixing, repacking, wavelet
+from opslens.llm import decision_list, line_frequency, mixing, repacking, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,14 @@ def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as visible lines, without those that stand on over a fifth of their host's pages."""
+    pages = table(spark, sf_dir, "pages")
+    text, site = line_frequency.visible_lines(pages["html"]), line_frequency.host(pages["url"])
+    found = line_frequency.drop_boilerplate(pages, text, site)
+    return found.select(F.col("_row.page_id").alias("page_id"), "host", "n_lines", "n_dropped", "kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed by source weights 1, 2, 3, targets at most 3 times a source."""
     found = mixing.mix(table(spark, sf_dir, "documents"))
@@ -45,4 +53,4 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op6_repacking, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op6_repacking, op7_line_frequency, op9_mixing)}
