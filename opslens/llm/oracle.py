@@ -64,3 +64,25 @@ SELECT page_id, any_value(host) AS host, sum((bare <> '')::INT)::BIGINT AS n_lin
        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept
 FROM marked GROUP BY page_id
 """
+
+ORACLE_SQL["op5_jaccard_join"] = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), grams AS (
+    SELECT doc_id, unnest(list_distinct([list_slice(w, i, least(i + 4, len(w))) FOR i IN range(1, greatest(len(w) - 4, 1) + 1)])) AS g
+    FROM words WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS s FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), near AS (
+    SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 9 * s >= 4 * (x.n + y.n)
+    UNION
+    SELECT a.doc_id, b.doc_id FROM words a JOIN words b ON a.text = b.text AND a.doc_id <> b.doc_id
+), reach AS (
+    SELECT doc_id AS u, doc_id AS v FROM words
+    UNION
+    SELECT r.u, n.v FROM reach r JOIN near n ON r.v = n.u
+), classes AS (SELECT u AS doc_id, min(v) AS class_id FROM reach GROUP BY u
+), counts AS (SELECT u AS doc_id, count(*) AS n_links FROM near GROUP BY u)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links FROM classes LEFT JOIN counts USING (doc_id)
+"""

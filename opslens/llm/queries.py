@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import decision_list, line_frequency, mixing, repacking, wavelet
+from opslens.llm import decision_list, jaccard_join, line_frequency, mixing, repacking, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the group that links of five-word shingles at 0.8 make, and their number of links."""
+    found = jaccard_join.links(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 ids."""
     found = repacking.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -53,4 +59,4 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op6_repacking, op7_line_frequency, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op9_mixing)}
