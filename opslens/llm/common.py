@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opslens.sources.staging import new_path, stage
 
-__all__ = ["WORD", "SPACES", "batch_slices", "new_path", "named", "stage", "table"]
+__all__ = ["WORD", "SPACES", "batch_slices", "importable", "new_path", "named", "stage", "table"]
 
 #: A word: what stands between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the library from where the driver did.
+
+    On a cluster it is installed on the executors or sent with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

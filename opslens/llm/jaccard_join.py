@@ -40,8 +40,10 @@ def banding(similarity: Fraction = SIMILARITY, recall: float = RECALL, max_hashe
     """Bands and rows: the most rows (fewest chance candidates) whose bands reach the recall within ``max_hashes``."""
     found = None
     for rows in range(1, max_hashes + 1):
-        miss = 1 - float(similarity) ** rows
-        bands = 1 if miss <= 1 - recall else math.ceil(math.log(1 - recall) / math.log(miss))
+        hit = float(similarity) ** rows
+        if hit * max_hashes < 1e-6:
+            break
+        bands = 1 if hit >= recall else math.ceil(math.log1p(-recall) / math.log1p(-hit))
         if bands * rows <= max_hashes:
             found = bands, rows
     if not found:

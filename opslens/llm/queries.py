@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import decision_list, jaccard_join, line_frequency, mixing, repacking, wavelet
+from opslens.llm import boosted_trees, chunk_dedup, decision_list, jaccard_join, line_frequency, mixing, repacking, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,4 +59,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op9_mixing)}
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that an earlier document has."""
+    found = chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", "n_words", "first_doc_id")
+
+
+def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document."""
+    return boosted_trees.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op8_chunk_dedup, op9_mixing, op10_boosted_trees)}
