@@ -131,8 +131,8 @@ def repeated_passages(
     found = chunks(docs, chunk_words).withColumn("owner", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     # Each task sends a digest once, however often it has it.
     seen = found.groupBy("digest").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
-    copies = seen.filter("first < last").select("digest", "first")
-    # Digests are unique on the right; those of many chunks are on the left, where Spark splits them.
+    # Digests are unique on the right, which is staged; those of many chunks are on the left, where Spark splits them.
+    copies = stage(seen.filter("first < last").select("digest", "first"), "copies")
     later = found.join(copies, "digest").filter("owner > first")
     later = later.select("doc_id", "owner", "version", "start", "length", "n_words", "first").distinct()
     order = Window.partitionBy("owner", "version").orderBy("start")

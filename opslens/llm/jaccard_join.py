@@ -209,10 +209,13 @@ def links(docs: DataFrame, size: int = SHINGLE, similarity: Fraction = SIMILARIT
         .filter("centre != other")
         .select("bucket", "centre")
     )
+    # The right sides are staged: joins then have exchanges of their own, and Spark can split a hot bucket or text.
+    centres = stage(centres, "centres")
     follows = stage(buckets.join(centres, "bucket").select("k1", "k2", "centre").distinct(), "followers")
     # At most one centre a band.
     lists = follows.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("centre")).alias("centres"))
     blocks = follows.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = stage(blocks, "blocks")
     candidates = stage(lists.join(copies.select("k1", "k2", "copies"), ["k1", "k2"]), "candidates")
     wanted = given.select("k1", "k2", "text").join(candidates.select("k1", "k2"), ["k1", "k2"], "left_semi")
     texts = wanted.groupBy("k1", "k2").agg(F.first("text").alias("text"))
