@@ -76,6 +76,8 @@ def drop_boilerplate(
     """
     rows = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("_row"), text.alias("text"), site.alias("host"))
     often = boilerplate(rows.select("host", "text"), ratio, min_pages).select(F.col("host").alias("_host"), "lines")
+    # Staged, so that the join has an exchange of its own on either side and can split a hot host's pages.
+    often = stage(often, "boilerplate")
     joined = rows.join(often, F.col("host") == F.col("_host"), "left").select(
         "_row", "host", F.col("text").isNull().alias("empty"), _lines(F.col("text")).alias("all"), "lines"
     )
