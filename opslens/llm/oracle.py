@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from opslens.llm.licences import TEMPLATES, TERM
+
 #: A word, as in ``common.WORD``.
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -86,3 +88,56 @@ WITH RECURSIVE words AS (
 ), counts AS (SELECT u AS doc_id, count(*) AS n_links FROM near GROUP BY u)
 SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links FROM classes LEFT JOIN counts USING (doc_id)
 """
+
+_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+
+ORACLE_SQL["op2_licences"] = rf"""
+WITH files AS (
+    SELECT doc_id, text, concat_ws('/', source, lang, doc_id::VARCHAR) AS path FROM documents
+), templates AS (
+    SELECT k, licence, unnest(regexp_extract_all(lower(body), '{TERM}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, licence, body)
+), vocabulary AS (SELECT DISTINCT term FROM templates
+), held AS (
+    SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{TERM}')) AS term FROM files
+), idf AS (
+    SELECT v.term, ln((1 + (SELECT count(*) FROM files)) / (1 + count(h.doc_id))) + 1 AS idf
+    FROM vocabulary v LEFT JOIN held h USING (term) GROUP BY v.term
+), entry AS (
+    SELECT k, licence, term, count(*) * any_value(idf) AS weight FROM templates JOIN idf USING (term) GROUP BY k, licence, term
+), size AS (SELECT k, sqrt(sum(weight * weight)) AS size FROM entry GROUP BY k
+), lines AS (
+    SELECT doc_id, path, words, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+    FROM (SELECT doc_id, path, len(regexp_extract_all(text, '{_WORD}')) AS words, string_split(text, chr(10)) AS l FROM files)
+), occurrence AS (
+    SELECT line, unnest(regexp_extract_all(lower(line), '{TERM}')) AS term FROM (SELECT DISTINCT line FROM lines)
+), vector AS (
+    SELECT line, term, count(*) * coalesce(any_value(idf), 1.0::DOUBLE) AS x FROM occurrence LEFT JOIN idf USING (term) GROUP BY line, term
+), norm AS (SELECT line, sqrt(sum(x * x)) AS norm FROM vector GROUP BY line
+), dots AS (SELECT line, k, licence, sum(x * weight) AS dot FROM vector JOIN entry USING (term) GROUP BY line, k, licence
+), scored AS (
+    SELECT line, licence, round(dot / (norm * size), 6) AS score FROM dots JOIN norm USING (line) JOIN size USING (k)
+), best AS (
+    SELECT line, licence, score FROM scored WHERE score >= 0.6
+    QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, licence COLLATE "C") = 1
+), hits AS (SELECT l.*, licence, score FROM lines l JOIN best USING (line)
+), own AS (
+    SELECT doc_id, path, licence, score FROM hits
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence COLLATE "C") = 1
+), shares AS (
+    SELECT doc_id, sum(len(regexp_extract_all(line, '{_WORD}'))) / any_value(words) AS share FROM hits GROUP BY doc_id
+), licence_files AS (
+    SELECT regexp_replace(path, '/[^/]*$', '') AS dir, licence, score FROM own JOIN shares USING (doc_id) WHERE share >= 0.5
+    QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY share DESC, path COLLATE "C") = 1
+), dirs AS (
+    SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS below FROM files
+), climbed AS (
+    SELECT below, unnest([array_to_string(list_slice(string_split(below, '/'), 1, i), '/') FOR i IN range(0, len(string_split(below, '/')) + 1)]) AS dir FROM dirs
+), up AS (
+    SELECT below, dir, licence, score FROM climbed JOIN licence_files USING (dir)
+    QUALIFY row_number() OVER (PARTITION BY below ORDER BY length(dir) DESC) = 1
+)
+SELECT f.doc_id, f.path, coalesce(o.licence, u.licence) AS licence, coalesce(o.score, u.score) AS score,
+       CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN u.licence IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN o.licence IS NULL THEN u.dir END AS origin_dir
+FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN up u ON u.below = regexp_replace(f.path, '/[^/]*$', '')
+"""

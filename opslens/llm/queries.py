@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import boosted_trees, chunk_dedup, decision_list, jaccard_join, line_frequency, mixing, permutation_index, repacking, wavelet
+from opslens.llm import boosted_trees, chunk_dedup, decision_list, jaccard_join, licences, line_frequency, mixing, permutation_index, repacking, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,13 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its own or that of its directory (source/lang)."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licences.scan(docs, path).select("_row.doc_id", "path", "licence", "score", "origin", "origin_dir")
+
+
 def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
@@ -76,4 +83,4 @@ def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted_trees.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op3_permutation_index, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op8_chunk_dedup, op9_mixing, op10_boosted_trees)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op2_licences, op3_permutation_index, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op8_chunk_dedup, op9_mixing, op10_boosted_trees)}
