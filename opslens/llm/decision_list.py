@@ -120,7 +120,9 @@ def statistics(docs: DataFrame, with_row: bool = False) -> DataFrame:
     rows = rows.select(*counts, at.alias("starts"))
     covered = F.transform("starts", lambda s, j: F.least(F.lit(WINDOW), F.coalesce(F.get("starts", j + 1) - s, F.lit(WINDOW))))
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.select(*counts, total.alias("n_repeat_words"))
+    # Through a generator, which filters on the counts stay above: moved below it they would repeat all this.
+    found = F.struct(*counts[1:], total.alias("n_repeat_words"))
+    return rows.select(key, F.inline(F.array(found)))
 
 
 def base_failed() -> Column:
