@@ -216,10 +216,13 @@ def links(docs: DataFrame, size: int = SHINGLE, similarity: Fraction = SIMILARIT
     lists = follows.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("centre")).alias("centres"))
     blocks = follows.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     blocks = stage(blocks, "blocks")
-    candidates = stage(lists.join(copies.select("k1", "k2", "copies"), ["k1", "k2"]), "candidates")
-    wanted = given.select("k1", "k2", "text").join(candidates.select("k1", "k2"), ["k1", "k2"], "left_semi")
-    texts = wanted.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    texts = stage(texts.join(candidates, ["k1", "k2"]), "candidate-texts")
+    candidates = stage(lists.join(copies, ["k1", "k2"]), "candidates")
+    # Of copies, the row of the least id: the id is part of the join key, so a text of many copies is spread.  The
+    # join is a merge at every size: candidates grow with the texts, and a plan that changes on the way helps nobody.
+    wanted = candidates.select("k1", "k2", "first_id").hint("merge")
+    same = [given["k1"] == wanted["k1"], given["k2"] == wanted["k2"], given["doc_id"].eqNullSafe(wanted["first_id"])]
+    texts = given.join(wanted, same, "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    texts = stage(texts.join(candidates.drop("first_id"), ["k1", "k2"]), "candidate-texts")
 
     dealt = follows.join(blocks, "centre").withColumn("block", F.pmod(F.col("k2"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
