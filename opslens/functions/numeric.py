@@ -1,32 +1,39 @@
 """Ratios, means and roundings that agree to the last digit between runs.
 
-They work on DECIMAL so that halves round away from zero and the order in
-which partial sums meet does not matter.
+Whole numbers and DECIMAL are worked on as DECIMAL with the scale they have, so
+halves round away from zero and the order in which partial sums meet does not
+matter.  DOUBLE stays DOUBLE: its sums are as exact as DOUBLE sums are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from opslens.functions._col import as_col
 
-_WHOLE = T.DecimalType(20, 0)
 
+def exact(c: Column | str, factor: int = 1) -> Column:
+    """``factor`` times a number, whole types as DECIMAL.
 
-def exact_ratio(numerator: Column | str, denominator: Column | str, dtype: T.DataType = _WHOLE) -> Column:
-    """``numerator / denominator`` in DECIMAL; NULL when the denominator is zero."""
-    top = as_col(numerator).cast(dtype)
-    bottom = as_col(denominator).cast(_WHOLE)
-    return top / F.nullif(bottom, F.lit(0).cast(_WHOLE))
+    The product with a DECIMAL literal takes its type from the input: a whole
+    type becomes wide enough for all its values, DECIMAL keeps its scale, DOUBLE
+    stays DOUBLE.  Sums of the result have ten digits more, up to 38.
+    """
+    return as_col(c) * F.lit(Decimal(factor))
+
+
+def exact_ratio(numerator: Column | str, denominator: Column | str, factor: int = 1) -> Column:
+    """``factor * numerator / denominator``; NULL when the denominator is zero."""
+    return exact(numerator, factor) / F.nullif(exact(denominator), F.lit(0))
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:
-    """100 · part / whole in DECIMAL; NULL when the whole is zero."""
-    return exact_ratio(as_col(part).cast(_WHOLE) * F.lit(100), whole, T.DecimalType(23, 0))
+    """100 · part / whole; NULL when the whole is zero."""
+    return exact_ratio(part, whole, 100)
 
 
 def percent_rounded(part: Column | str, whole: Column | str, digits: int = 1) -> Column:

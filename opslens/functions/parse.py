@@ -59,20 +59,32 @@ def _to_integer(c: Column, dtype: str, mode: str) -> Column:
 
 def parse_decimal(
     c: Column | str,
-    precision: int = 18,
-    scale: int = 3,
+    precision: int = 38,
+    scale: int = 18,
     signed: bool = False,
     mode: str = "permissive",
 ) -> Column:
     """Plain decimal notation to DECIMAL; anything else is NULL.
 
-    ``5.`` is accepted; ``.5``, ``+1`` and exponents are not.
+    ``5.`` is accepted; ``.5``, ``+1`` and exponents are not.  The type is as wide
+    as Spark's are, with 20 digits before the point and 18 behind it: a larger
+    number is NULL (``permissive``), further digits behind the point are rounded.
+    ``beyond_decimal`` counts both.
     """
     c = as_col(c)
     shape = SIGNED_DECIMAL if signed else UNSIGNED_DECIMAL
     return F.when(c.rlike(shape), _convert(c, T.DecimalType(precision, scale), mode))
 
 
+def beyond_decimal(c: Column | str, precision: int = 38, scale: int = 18, signed: bool = False) -> Column:
+    """Whether ``parse_decimal`` takes a text but cannot keep all its digits."""
+    c = as_col(c)
+    shape = SIGNED_DECIMAL if signed else UNSIGNED_DECIMAL
+    whole = F.length(F.regexp_replace(F.substring_index(c, ".", 1), "^-?0*", ""))
+    behind = F.length(F.regexp_replace(c, r"^[^.]*\.?|0*$", ""))
+    return F.coalesce(c.rlike(shape) & ((whole > precision - scale) | (F.contains(c, F.lit(".")) & (behind > scale))), F.lit(False))
+
+
 def parse_int(
     c: Column | str,
     signed: bool = False,

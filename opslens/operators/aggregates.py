@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import average
+from opslens.functions.numeric import average, exact
 from opslens.operators.ranking import running_counts, share_of_total
 
-#: More categories than this would not be a pivot but a mistake.
-MAX_CATEGORIES = 1_000
-
 
 def value_share(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
     """``(column, n, pct)`` per value, most frequent first; NULL is left out."""
@@ -20,11 +18,9 @@ def value_share(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
     return share_of_total(counts, "n", "pct", digits).orderBy(F.col("n").desc(), F.col(column).asc())
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """The values of a category column, sorted; refuses what is not a category."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
+def categories(df: DataFrame, column: str) -> list:
+    """The values of a category column, sorted: the columns of a pivot, so as many as the result is wide."""
+    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -33,21 +29,22 @@ def pivot_fill(
     keys: Sequence[str],
     category: str,
     measure: Column,
-    values: Sequence[str] | None = None,
+    values: Sequence | None = None,
 ) -> DataFrame:
     """One column per category holding the sum of ``measure``; empty cells are 0.
 
     With ``values`` the columns are exactly these, in this order, also where
     the data has none of a category; without, they are the categories found.
     Rows with a NULL key or category are left out, but a row whose categories
-    are all outside ``values`` stays, with zeros.
+    are all outside ``values`` stays, with zeros.  Categories of any type name
+    their column by their text.
     """
     columns = list(values) if values is not None else categories(df, category)
     present = df.filter(F.col(category).isNotNull())
     for key in keys:
         present = present.filter(F.col(key).isNotNull())
     cells = [
-        F.coalesce(F.sum(F.when(F.col(category) == value, measure)), F.lit(0)).alias(value) for value in columns
+        F.coalesce(F.sum(F.when(F.col(category) == value, measure)), F.lit(0)).alias(str(value)) for value in columns
     ]
     return present.groupBy(*keys).agg(*cells)
 
@@ -57,7 +54,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
     The last bin is closed, empty bins are kept, and a column with one value
     only gets a range half a unit wide on either side.  Two passes: the edges
-    (two numbers) are read first and are literals in the second.
+    (two numbers) are read first and are literals in the second.  NaN and
+    infinite values give no finite range and are refused.
     """
     x = F.col(column).cast("double")
     values = df.filter(F.col(column).isNotNull()).select(x.alias("x"))
@@ -65,6 +63,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     spark = df.sparkSession
     if low is None:
         return spark.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
+    if not (math.isfinite(low) and math.isfinite(high)):
+        raise ValueError(f"the range of {column} is not finite")
     if low == high:
         low, high = low - 0.5, high + 0.5
     index = F.floor((F.col("x") - low) * bins / (high - low))
@@ -86,7 +86,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def distribution_stats(df: DataFrame, column: str) -> DataFrame:
-    """One row, ``(mean, median, max)``, all exact, from one pass over the rows.
+    """One row, ``(mean, median, max)``, from one pass over the rows; the mean as exact as ``exact`` makes its sum.
 
     The built-in exact median keeps every distinct value in the memory of one
     task.  Here values are counted first and staged with the rows before them;
@@ -103,7 +103,7 @@ def distribution_stats(df: DataFrame, column: str) -> DataFrame:
         return F.max(F.when(covers, value.cast("double")))
 
     return placed.agg(
-        average(F.sum(value.cast("decimal(38,0)") * F.col("key_rows")), F.sum("key_rows")).alias("mean"),
+        average(F.sum(exact(value) * F.col("key_rows")), F.sum("key_rows")).alias("mean"),
         ((at((rows - 1) // 2) + at(rows // 2)) / 2).alias("median"),
         F.max(value).alias("max"),
     )

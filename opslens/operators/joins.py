@@ -40,7 +40,8 @@ def left_detail(parent: DataFrame, detail: DataFrame, key: str) -> DataFrame:
     detail side can be split, and the parents without details are added.
     """
     matched = detail.join(parent, key, "inner")
-    lonely = parent.join(detail.select(key), key, "left_anti")
+    # Distinct keys on the right, cut to one row per key and task before the exchange: a hot key is one row there.
+    lonely = parent.join(detail.select(key).distinct(), key, "left_anti")
     extra = [f for f in detail.schema.fields if f.name != key]
     filled = lonely.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
     names = [key, *[c for c in parent.columns if c != key], *[f.name for f in extra]]

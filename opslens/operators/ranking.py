@@ -13,12 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import percent_rounded
+from opslens.functions.numeric import exact, percent_rounded
 from opslens.sources.staging import stage
 
-#: Up to this many rows are ranked by one task; the size is counted first.
-ONE_TASK_ROWS = 1_000_000
-
 
 def _sort_column(name: str, descending: bool) -> Column:
     return F.col(name).desc_nulls_first() if descending else F.col(name).asc_nulls_last()
@@ -28,7 +25,6 @@ def running_counts(
     df: DataFrame,
     keys: Sequence[str],
     descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """Per distinct key: ``key_rows`` and ``rows_before`` it in key order.
@@ -39,10 +35,6 @@ def running_counts(
     order = [_sort_column(k, descending) for k in keys]
     ahead = [Window.unboundedPreceding, -1]
     counted = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")), "key-counts")
-    if counted.count() <= one_task_rows:
-        before = F.sum("key_rows").over(Window.orderBy(*order).rowsBetween(*ahead))
-        return counted.withColumn("rows_before", F.coalesce(before, F.lit(0)))
-
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The bucket is the range partition a key fell into; staging freezes it.
     placed = stage(
@@ -67,20 +59,15 @@ def global_rank(
     name: str,
     descending: bool = True,
     staged: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """``rank()`` over the whole relation, added as column ``name``.
 
-    The input is staged (unless the caller has done so) and counted.  A small
-    one is ranked by a plain window; a larger one through ``running_counts``:
-    rank = 1 + rows with a key strictly ahead.
+    The input is staged (unless the caller has done so): key counts and ranks
+    both read it.  rank = 1 + rows with a key strictly ahead.
     """
     table = df if staged else stage(df, "to-rank")
-    if table.count() <= one_task_rows:
-        window = Window.orderBy(*[_sort_column(k, descending) for k in keys])
-        return table.withColumn(name, F.rank().over(window).cast("bigint"))
-    places = running_counts(table, keys, descending, one_task_rows, buckets).select(
+    places = running_counts(table, keys, descending, buckets).select(
         *[F.col(k).alias(f"__rank_{k}") for k in keys],
         (F.col("rows_before") + 1).alias(name),
     )
@@ -89,8 +76,8 @@ def global_rank(
 
 
 def grand_total(df: DataFrame, column: str) -> Column:
-    """The sum of a column over the relation as a scalar subquery."""
-    return df.agg(F.sum(F.col(column).cast("decimal(38,0)"))).scalar()
+    """The sum of a column over the relation as a scalar subquery; see ``exact`` for its type."""
+    return df.agg(F.sum(exact(column))).scalar()
 
 
 def share_of_total(df: DataFrame, column: str, name: str, digits: int = 1, staged: bool = False) -> DataFrame:

@@ -26,8 +26,8 @@ def clean_airports(raw: DataFrame, mode: str = "permissive") -> DataFrame:
         fx.clean_label("airport_name").alias("airport_name"),
         fx.clean_code("city").alias("city"),
         fx.clean_code("province").alias("province"),
-        fx.parse_decimal("latitude", 9, 6, signed=True, mode=mode).alias("latitude"),
-        fx.parse_decimal("longitude", 9, 6, signed=True, mode=mode).alias("longitude"),
+        fx.parse_decimal("latitude", signed=True, mode=mode).alias("latitude"),
+        fx.parse_decimal("longitude", signed=True, mode=mode).alias("longitude"),
         fx.parse_int("elevation_ft", mode=mode).alias("elevation_ft"),
         fx.normalize_bool("is_international", v.YES_WORDS, v.NO_WORDS, trim=True).alias("is_international"),
     )
@@ -68,7 +68,7 @@ def clean_flights(
         fx.parse_int("delay_minutes", signed=True, floor=0, mode=mode).alias("delay_minutes"),
         *[fx.parse_timestamp(c, mode=mode).alias(c) for c in times],
         fx.parse_count("passengers_onboard", mode=mode).alias("passengers_onboard"),
-        fx.parse_decimal("cargo_kg", 18, 3, mode=mode).alias("cargo_kg"),
+        fx.parse_decimal("cargo_kg", mode=mode).alias("cargo_kg"),
         *[F.col(c).alias(f"__order_{c}") for c in first_by or ()],
     )
     columns = [c for c in typed.columns if not c.startswith("__order_")]

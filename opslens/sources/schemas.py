@@ -36,7 +36,7 @@ RAW_COLUMNS = {
 CLEAN_COLUMNS = {
     "airports": (
         "airport_id bigint, iata_code string, airport_name string, city string, province string, "
-        "latitude decimal(9,6), longitude decimal(9,6), elevation_ft int, is_international boolean"
+        "latitude decimal(38,18), longitude decimal(38,18), elevation_ft int, is_international boolean"
     ),
     "airlines": (
         "airline_id bigint, iata_code string, airline_name string, alliance string, "
@@ -46,7 +46,7 @@ CLEAN_COLUMNS = {
         "flight_id bigint, flight_number string, airline_iata string, origin_iata string, "
         "destination_iata string, flight_status string, delay_minutes int, "
         "scheduled_dep timestamp_ntz, scheduled_arr timestamp_ntz, actual_dep timestamp_ntz, "
-        "actual_arr timestamp_ntz, passengers_onboard int, cargo_kg decimal(18,3)"
+        "actual_arr timestamp_ntz, passengers_onboard int, cargo_kg decimal(38,18)"
     ),
     "passengers": (
         "passenger_id bigint, flight_id bigint, full_name string, gender string, nationality string, "

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,17 +30,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
     """CSV with a header and a declared schema.
 
-    ``multiLine`` is on because free text may hold line breaks; a file is then
-    one task, which is why ``write_csv`` bounds the size of its files.  A header
-    that does not fit the schema fails the read instead of shifting columns.
+    With ``multi_line`` fields may hold line breaks and a file is one task, which
+    is why ``write_csv`` bounds the size of its files.  Without, a file is split
+    among tasks: for large files whose fields hold none.  A header that does not
+    fit the schema fails the read instead of shifting columns.
     """
     options = {
         **_CSV_COMMON,
         "emptyValue": _EMPTY_TEXT,
-        "multiLine": "true",
+        "multiLine": str(multi_line).lower(),
         "mode": "FAILFAST",
         "enforceSchema": "false",
     }
@@ -91,14 +91,14 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def _read_cached(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
-    """The cached table, or None if there is none (a failed write leaves a folder without files)."""
-    try:
-        df = read_csv(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The cached table, or None if there is none; a folder counts only once its write has ended."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
         return None
-    return df if df.inputFiles() else None
+    if files.getFileStatus(place).isDirectory() and not files.exists(spark._jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS")):
+        return None
+    return read_csv(spark, path, schema)
 
 
 def load_tables(

@@ -20,6 +20,7 @@ def _mean(total: str, count: str, digits: int = 1) -> str:
     return f"(({2 * k} * ({total}) + ({count})) // (2 * ({count}))) / {k}.0"
 
 
+# The spellings that clean to one value.
 _BOOL3 = (
     "CASE WHEN lower(trim({c})) IN ('yes', '1', 'true', 'y') THEN 'true' "
     "WHEN lower(trim({c})) IN ('no', '0', 'false', 'n') THEN 'false' END"
@@ -51,11 +52,15 @@ _COUNT = (
     "CASE WHEN regexp_matches(passengers_onboard, '^[0-9]+\\.?[0-9]*$') "
     "THEN CAST(round(TRY_CAST(passengers_onboard AS DECIMAL(38,25))) AS BIGINT) END"
 )
-_CARGO = "CASE WHEN regexp_matches(cargo_kg, '^[0-9]+\\.?[0-9]*$') THEN TRY_CAST(cargo_kg AS DECIMAL(18,3)) END"
+_CARGO = "CASE WHEN regexp_matches(cargo_kg, '^[0-9]+\\.?[0-9]*$') THEN TRY_CAST(cargo_kg AS DECIMAL(38,18)) END"
 _COORD = "CASE WHEN regexp_matches({c}, '^-?[0-9]+\\.?[0-9]*$') THEN TRY_CAST({c} AS DOUBLE) END"
 _ELEVATION = "CASE WHEN regexp_matches(elevation_ft, '^[0-9]+$') THEN TRY_CAST(elevation_ft AS BIGINT) END"
 _FLEET = "TRY_CAST(nullif(regexp_extract(fleet_size, '[0-9]+'), '') AS BIGINT)"
-_MONEY = "TRY_CAST(regexp_replace(regexp_replace(ticket_price, 'Rp\\s*', '', 'gi'), '[.,]', '', 'g') AS BIGINT)"
+# What is left of a price without its prefix, put together from the runs between separators.
+_MONEY = (
+    "TRY_CAST(array_to_string(string_split_regex(CASE WHEN contains(lower(ticket_price), 'rp') "
+    "THEN array_to_string(string_split_regex(ticket_price, '(?i)rp\\s*'), '') ELSE ticket_price END, '[.,]'), '') AS BIGINT)"
+)
 _STAMP = "CAST(TRY_CAST({c} AS TIMESTAMP) AS VARCHAR)"
 _DAY = "CAST(TRY_CAST({c} AS DATE) AS VARCHAR)"
 
@@ -235,7 +240,11 @@ _SQL: dict[str, tuple[str, str]] = {
     "pipeline_pax": ("passengers", "SELECT * FROM passengers"),
     "pipeline_incidents": ("incidents", "SELECT * FROM incidents"),
     "csv_roundtrip": ("raw_passengers", "SELECT * FROM raw_passengers"),
-    "cached_load": ("incidents", "SELECT * FROM incidents"),
+    "cached_load": (
+        "airlines incidents",
+        """SELECT 'airlines' AS table_name, airline_id AS id, status AS label FROM airlines
+        UNION ALL SELECT 'incidents', incident_id, severity FROM incidents""",
+    ),
     "append_replace": (
         "",
         "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, upper(s_name) FROM supplier",
@@ -253,6 +262,12 @@ _SQL: dict[str, tuple[str, str]] = {
                 "orders": 6,
                 "lineitem": 11,
                 "events": 6,
+                "documents": 5,
+                "embeddings": 3,
+                "pages": 3,
+                "benchmark": 2,
+                "labels": 3,
+                "conversations": 4,
             }.items()
         ),
     ),
@@ -269,7 +284,7 @@ _SQL: dict[str, tuple[str, str]] = {
                 "origin_iata",
                 "destination_iata",
                 "flight_status",
-                "delay_minutes",
+                "coalesce(delay_minutes, 0)",
                 *_TIMES,
                 "passengers_onboard",
                 "cargo_kg",
@@ -400,13 +415,14 @@ _SQL: dict[str, tuple[str, str]] = {
     ),
     "trip_frame": (
         "flights airlines airports",
-        """SELECT f.* REPLACE (CAST(cargo_kg AS DOUBLE) AS cargo_kg), a.iata_code AS iata_code, a.airline_name AS airline_name,
+        """SELECT f.* REPLACE (CAST(cargo_kg AS DOUBLE) AS cargo_kg, CAST(passengers_onboard AS DOUBLE) AS passengers_onboard,
+            CAST(coalesce(delay_minutes, 0) AS DOUBLE) AS delay_minutes), a.iata_code AS iata_code, a.airline_name AS airline_name,
         o.iata_code AS iata_code_orig, o.city AS origin_city
         FROM flights f LEFT JOIN airlines a ON airline_iata = a.iata_code LEFT JOIN airports o ON origin_iata = o.iata_code""",
     ),
     "joined_frames": (
         "flights airlines passengers",
-        """SELECT p.*, f.airline_iata, f.flight_status, a.iata_code, a.airline_name
+        """SELECT p.* REPLACE (CAST(ticket_price_idr AS DOUBLE) AS ticket_price_idr), f.airline_iata, f.flight_status, a.iata_code, a.airline_name
         FROM passengers p LEFT JOIN flights f ON p.flight_id = f.flight_id LEFT JOIN airlines a ON airline_iata = a.iata_code""",
     ),
     "status_share": (
@@ -481,6 +497,17 @@ _SQL: dict[str, tuple[str, str]] = {
         f"""SELECT {_mean("CAST(sum(l_partkey) AS BIGINT)", "count(l_partkey)", 4)} AS mean, median(l_partkey) AS median,
         max(l_partkey) AS max FROM lineitem""",
     ),
+    "share_of_fractions": (
+        "",
+        """SELECT l_suppkey, price, CAST(round(CAST(price * 100 AS DECIMAL(38,4)) * 100000 / t) AS DOUBLE) / 100000 AS pct FROM
+        (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(15,2)))::DOUBLE AS price FROM lineitem GROUP BY 1) s,
+        (SELECT sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS t FROM lineitem) q""",
+    ),
+    "distribution_fractions": (
+        "",
+        """SELECT CAST((2 * 10000 * CAST(sum(c) AS HUGEINT) + 100 * count(c)) // (2 * 100 * count(c)) AS DOUBLE) / 10000 AS mean, median(c)::DOUBLE / 100 AS median,
+        max(c)::DOUBLE / 100 AS max FROM (SELECT CAST(round(CAST(l_extendedprice AS DECIMAL(15,2)) * 100) AS BIGINT) AS c FROM lineitem)""",
+    ),
     "value_share": (
         "",
         f"""SELECT o_orderpriority, n, {_pct("n", "t")} AS pct FROM

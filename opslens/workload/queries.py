@@ -21,7 +21,10 @@ from opslens.workload.tables import TABLES, Warehouse
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+DRIVER_TABLES = [
+    *["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"],
+    *["documents", "embeddings", "pages", "benchmark", "labels", "conversations"],
+]
 HUB = "NATION_0"
 
 
@@ -113,8 +116,8 @@ def clean_status(w: Warehouse) -> DataFrame:
 def clean_coordinates(w: Warehouse) -> DataFrame:
     return w.raw("airports").select(
         "airport_id",
-        fx.parse_decimal("latitude", 9, 6, signed=True).alias("latitude"),
-        fx.parse_decimal("longitude", 9, 6, signed=True).alias("longitude"),
+        fx.parse_decimal("latitude", signed=True).alias("latitude"),
+        fx.parse_decimal("longitude", signed=True).alias("longitude"),
         fx.parse_int("elevation_ft").alias("elevation_ft"),
     )
 
@@ -263,7 +266,11 @@ def cached_load(w: Warehouse) -> DataFrame:
     schemas = {name: w.clean(name).schema for name in ("airlines", "incidents")}
     io.load_tables(w.spark, schemas, cache, w.clean)
     loaded = io.load_tables(w.spark, schemas, cache, w.clean)
-    return loaded["incidents"]
+    parts = [
+        loaded[name].select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(label).alias("label"))
+        for name, key, label in (("airlines", "airline_id", "status"), ("incidents", "incident_id", "severity"))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -289,7 +296,8 @@ def preview(w: Warehouse) -> DataFrame:
 
 @query
 def null_census(w: Warehouse) -> DataFrame:
-    return op.null_census(w.clean("flights"))
+    flights, _ = summaries.repair_types(*w.cleaned("flights", "passengers"))
+    return op.null_census(flights)
 
 
 # --- reports -----------------------------------------------------------------
@@ -365,12 +373,14 @@ def quality_report(w: Warehouse) -> DataFrame:
 
 @query
 def trip_frame(w: Warehouse) -> DataFrame:
-    return summaries.trip_frame(*w.cleaned("flights", "airlines", "airports"))
+    flights, _ = summaries.repair_types(*w.cleaned("flights", "passengers"))
+    return summaries.trip_frame(flights, *w.cleaned("airlines", "airports"))
 
 
 @query
 def joined_frames(w: Warehouse) -> DataFrame:
-    return summaries.passenger_frame(*w.cleaned("passengers", "flights", "airlines"))
+    flights, passengers = summaries.repair_types(*w.cleaned("flights", "passengers"))
+    return summaries.passenger_frame(passengers, flights, w.clean("airlines"))
 
 
 @query
@@ -425,9 +435,9 @@ def group_distinct(w: Warehouse) -> DataFrame:
 
 @query
 def global_rank(w: Warehouse) -> DataFrame:
-    """Rank of every order by customer and status: many ties, distributed path forced."""
+    """Rank of every order by customer and status: many ties."""
     orders = table(w.spark, w.sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return op.global_rank(orders, ["o_custkey", "o_orderstatus"], "place", one_task_rows=1_000)
+    return op.global_rank(orders, ["o_custkey", "o_orderstatus"], "place")
 
 
 @query
@@ -444,6 +454,22 @@ def distribution_stats(w: Warehouse) -> DataFrame:
     return stats.withColumn("mean", F.round("mean", 4))
 
 
+@query
+def share_of_fractions(w: Warehouse) -> DataFrame:
+    """Each supplier's share of all prices."""
+    lines = table(w.spark, w.sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("price")
+    )
+    return op.share_of_total(lines, "price", "pct", digits=5)
+
+
+@query
+def distribution_fractions(w: Warehouse) -> DataFrame:
+    prices = table(w.spark, w.sf_dir, "lineitem").select(F.col("l_extendedprice").cast("decimal(15,2)").alias("price"))
+    stats = op.distribution_stats(prices, "price")
+    return stats.withColumns({"mean": F.round("mean", 4), "median": F.round("median", 3)})
+
+
 @query
 def value_share(w: Warehouse) -> DataFrame:
     return op.value_share(table(w.spark, w.sf_dir, "orders"), "o_orderpriority")

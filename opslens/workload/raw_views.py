@@ -28,7 +28,7 @@ RAW_EXPRESSIONS: dict[str, dict[str, str]] = {
         "latitude": (
             "CASE n_nationkey % 5 WHEN 0 THEN '-6.1256' WHEN 1 THEN '3.6' WHEN 2 THEN 'abc' WHEN 3 THEN '5.' ELSE NULL END"
         ),
-        "longitude": "CASE n_nationkey % 4 WHEN 0 THEN '106.6559' WHEN 1 THEN '.5' WHEN 2 THEN '+1' ELSE '99' END",
+        "longitude": "CASE n_nationkey % 4 WHEN 0 THEN '106.6559' WHEN 1 THEN '.5' WHEN 2 THEN '-6.123456789012' ELSE '1234.5' END",
         "elevation_ft": "CASE n_nationkey % 3 WHEN 0 THEN '34' WHEN 1 THEN '12.5' ELSE NULL END",
         "is_international": (
             "CASE n_nationkey % 7 WHEN 0 THEN 'yes' WHEN 1 THEN ' YES' WHEN 2 THEN '1' WHEN 3 THEN 'no' "
@@ -86,7 +86,8 @@ RAW_EXPRESSIONS: dict[str, dict[str, str]] = {
             "WHEN l_partkey % 4 = 2 THEN CAST(CAST(l_quantity AS INT) AS STRING) ELSE 'full' END"
         ),
         "cargo_kg": (
-            "CASE WHEN l_partkey % 9 = 0 THEN '-1' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END"
+            "CASE WHEN l_partkey % 9 = 0 THEN '-1' WHEN l_partkey % 9 = 1 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), '.56789012345') "
+            "WHEN l_partkey % 9 = 2 THEN '9999999999999999.5' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END"
         ),
         "l_partkey": "l_partkey",
         "l_suppkey": "l_suppkey",

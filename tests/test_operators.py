@@ -82,15 +82,15 @@ def test_full_merge(spark):
 def test_distributed_rank_equals_rank(hot, keys, descending):
     order = [F.col(k).desc_nulls_first() if descending else F.col(k).asc_nulls_last() for k in keys]
     want = hot.withColumn("r", F.rank().over(Window.orderBy(*order)).cast("bigint"))
-    small = op.global_rank(hot, keys, "r", descending)
-    large = op.global_rank(hot, keys, "r", descending, one_task_rows=10, buckets=7)
+    small = op.global_rank(hot, keys, "r", descending, buckets=1)
+    large = op.global_rank(hot, keys, "r", descending, buckets=7)
     assert rows(small) == rows(want)
     assert rows(large) == rows(want)
 
 
 def test_running_counts(hot):
     values = sorted(r["value"] for r in hot.collect() if r["value"] is not None)
-    got = op.running_counts(hot.filter("value is not null"), ["value"], one_task_rows=5, buckets=4)
+    got = op.running_counts(hot.filter("value is not null"), ["value"], buckets=4)
     counts = Counter(values)
     seen = 0
     want = {}
@@ -202,15 +202,54 @@ def test_no_python_in_plans(hot):
         op.dedup_first(hot, ["key"], ["id"]),
         op.value_share(hot, "tag"),
         op.null_census(hot),
-        op.global_rank(hot, ["value"], "r", one_task_rows=10, buckets=3),
+        op.global_rank(hot, ["value"], "r"),
     ):
         assert not any(word in plan(df) for word in ("PythonUDF", "MapInPandas", "ArrowEvalPython"))
 
 
 def test_rank_sends_no_rows_to_one_task(hot):
     """Only the bucket totals may go through a single partition."""
-    text = plan(op.global_rank(hot, ["value"], "r", one_task_rows=10, buckets=3))
+    text = plan(op.global_rank(hot, ["value"], "r"))
     singles = [line for line in text.splitlines() if "SinglePartition" in line]
     assert len(singles) <= 1
     for line in itertools.islice(singles, 1):
         assert "Exchange" in line
+
+
+def test_fractions_keep_their_digits(spark):
+    values = ["0.4", "0.4", "0.4", "1.4"]
+    for dtype in ("decimal(5,2)", "decimal(38,20)", "double"):
+        df = spark.createDataFrame([(v,) for v in values], "x string").select(F.col("x").cast(dtype).alias("x"))
+        stats = op.distribution_stats(df, "x").first()
+        assert (round(float(stats["mean"]), 9), float(stats["median"]), float(stats["max"])) == (0.65, 0.4, 1.4)
+        assert sorted(float(r["pct"]) for r in op.share_of_total(df, "x", "pct").collect()) == [15.4] * 3 + [53.8]
+    large = spark.range(40).select(F.lit(9 * 10**18).alias("x"))  # a sum above 1e20
+    assert float(op.distribution_stats(large, "x").first()["mean"]) == 9e18
+    assert {float(r["pct"]) for r in op.share_of_total(large, "x", "pct").collect()} == {2.5}
+
+
+def test_pivot_of_many_and_of_numbers(spark):
+    df = spark.range(1500).select(F.lit("a").alias("k"), F.col("id").alias("c"))
+    got = op.pivot_fill(df, ["k"], "c", F.lit(1))
+    assert len(got.columns) == 1501 and "1499" in got.columns and got.first()["7"] == 1
+
+
+def test_histogram_refuses_an_endless_range(spark):
+    for bad in (float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            op.histogram(spark.createDataFrame([(1.0,), (bad,)], "x double"), "x", 4)
+
+
+def test_hot_key_is_one_row_in_the_anti_join(spark):
+    """The keys that the anti join gets are grouped before their exchange."""
+    parent = spark.range(50).withColumnRenamed("id", "k")
+    detail = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = op.left_detail(parent, detail, "k")
+        text = plan(df)
+        assert rows(df) == rows(parent.join(detail, "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    anti = text[text.index("LeftAnti") :]
+    assert anti.index("HashAggregate") < anti.rindex("Exchange")

@@ -4,6 +4,8 @@ import pytest
 from compare import difference, duck, duck_rows, spark_rows
 
 import __spark_entry__ as entry
+from opslens.workload.oracle import all_oracle_sql
+from opslens.workload.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracle_sql())
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, name):
     got = spark_rows(entry.queries()[name](spark, SF))
     assert difference(got, duck_rows(con, entry.oracle_sql()[name])) is None
