@@ -14,6 +14,7 @@ from opslens.functions.parse import (
     lenient_double,
     parse_count,
     parse_date,
+    beyond_decimal,
     parse_decimal,
     parse_int,
     parse_money,
@@ -34,6 +35,7 @@ __all__ = [
     "normalize_enum",
     "parse_count",
     "parse_date",
+    "beyond_decimal",
     "parse_decimal",
     "parse_int",
     "parse_money",

@@ -1,6 +1,6 @@
 """Schemas, readers, writers and staged tables."""
 
-from opslens.sources.staging import stage, staging_root
+from opslens.sources.staging import release, stage, staging_root
 from opslens.sources.tables import (
     append_rows,
     load_profile,

@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
+#: Folders made by this process, oldest first, by application.
+_MADE: dict[str, list[str]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -35,7 +37,26 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the staged tables of this application and return how many folders went.
+
+    Results that read them must be written before.  Labels that start with one
+    of ``keep`` stay, for instance the cleaned tables that all reports share.
+    """
+    app, left, gone = spark.sparkContext.applicationId, [], 0
+    for path in _MADE.pop(app, []):
+        if keep and path.rsplit("/", 1)[1].startswith(keep):
+            left.append(path)
+            continue
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _MADE[app] = left
+    return gone
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

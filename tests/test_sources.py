@@ -1,9 +1,11 @@
 import datetime
+import os
 
 import pytest
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 
+from opslens import functions as fx
 from opslens import sources as io
 from opslens.sources import staging
 
@@ -113,3 +115,45 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
         staging.staging_root(Session())
     Conf.value = "s3a://shared/ckpt/"
     assert staging.staging_root(Session()) == "s3a://shared/ckpt/opslens/app"
+
+
+def test_release_leaves_no_folder_but_those_to_keep(spark, df, tmp_path):
+    staging.release(spark, keep=("raw-", "clean-"))
+    root = staging.staging_root(spark).removeprefix("file:")
+    folders = lambda: set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = folders()
+    for label in ("one", "two", "clean-three"):
+        assert io.stage(df, label).count() == 3
+    assert len(folders() - before) == 3
+    assert staging.release(spark, keep=("raw-", "clean-")) == 2
+    (kept,) = folders() - before
+    assert kept.startswith("clean-three")
+    assert staging.release(spark, keep=("raw-", "clean-")) == 0
+
+
+def test_unfinished_folder_is_built_anew(spark, df, tmp_path):
+    io.write_csv(df, f"{tmp_path}/one.csv")
+    (tmp_path / "one.csv" / "_SUCCESS").unlink()
+    asked = []
+    loaded = io.load_tables(spark, {"one": df.schema}, str(tmp_path), lambda name: asked.append(name) or df)
+    assert asked == ["one"] and same(loaded["one"])
+
+
+def test_large_csv_is_split_without_line_breaks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("id,a\n" + "".join(f"{i},text {i}\n" for i in range(20_000)))
+    schema = "id bigint, a string"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        whole = io.read_csv(spark, f"{tmp_path}/one.csv", schema)
+        split = io.read_csv(spark, f"{tmp_path}/one.csv", schema, multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 4
+        assert sorted(split.collect()) == sorted(whole.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_decimal_beyond_the_type_is_told(texts):
+    values = ["1234.56789", "9999999999999999.5", "1" * 21, "0." + "1" * 19, "0.10000000000000000000", "-" + "1" * 20, "x", None, "0." + "1" * 18]
+    assert texts(fx.beyond_decimal("c", signed=True), values) == [False, False, True, True, False, False, False, False, False]
+    got = texts(fx.parse_decimal("c", signed=True), values[:3])
+    assert [None if v is None else format(v.normalize(), "f") for v in got] == ["1234.56789", "9999999999999999.5", None]
