@@ -130,14 +130,14 @@ def scan(
     rows = files.select(F.struct(*[files[f"`{c}`"] for c in files.columns]).alias("_row"), files["text"].alias("text"), *key)
     n, found = document_frequencies(rows.select("text"), sorted(set(reduce(list.__add__, vocabulary))))
     idf = {t: weigh(n, found.get(t, 0)) for t in sorted(set(reduce(list.__add__, vocabulary)))}
-    needed = "|".join(re.escape(t) for t in anchors(vocabulary, idf, threshold))
+    needed = F.array(*[F.lit(t) for t in anchors(vocabulary, idf, threshold)])
 
-    some = rows.filter(F.lower("text").rlike(needed))
+    some = rows.filter(F.arrays_overlap(terms(F.col("text")), needed))
     lines = some.select(
         "path", "version", F.regexp_count("text", F.lit(WORD)).alias("words"), F.posexplode(F.split("text", "\n")).alias("at", "line")
     )
     # Equal rows are one file here.
-    lines = stage(lines.filter(F.lower("line").rlike(needed)).distinct(), "licence-lines")
+    lines = stage(lines.filter(F.arrays_overlap(terms(F.col("line")), needed)).distinct(), "licence-lines")
     scored = stage(scored_lines(lines.select("line").distinct(), templates, idf, threshold), "licence-scores")
     # The scored lines are distinct and staged; a line of many files is on the left, where Spark splits it.
     hits = lines.join(scored, "line")
