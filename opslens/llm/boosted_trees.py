@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.llm.common import batch_slices, named, stage
+from opslens.llm.common import batch_slices, hash_sample, named, stage
 from opslens.llm.encode import text_buffers
 from opslens.llm.textbytes import mix, shingles, word_hashes, words
 
@@ -217,8 +217,7 @@ def learn(found: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    joined = found.join(marks, "doc_id").select("x", "quality", F.xxhash64("doc_id").alias("h"))
-    rows = joined.orderBy("h", "x").limit(sample_rows).collect()
+    rows = hash_sample(stage(found.join(marks, "doc_id").select("doc_id", "x", "quality"), "labelled"), sample_rows, "doc_id", "x")
     x = np.array([r["x"] for r in rows], np.float32).reshape(len(rows), len(FEATURES))
     return grow(x, np.array([r["quality"] for r in rows], np.float64))
 

@@ -9,11 +9,12 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from opslens.sources.staging import new_path, stage
 
-__all__ = ["WORD", "SPACES", "batch_slices", "importable", "new_path", "named", "stage", "table"]
+__all__ = ["WORD", "SPACES", "batch_slices", "hash_sample", "importable", "new_path", "named", "stage", "table"]
 
 #: A word: what stands between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +41,19 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{theirs}`"].alias(ours) for ours, theirs in columns.items()])
 
 
+def hash_sample(rows: DataFrame, size: int, *key: str) -> list[Row]:
+    """At most ``size`` rows, those of the lowest hashes of ``key``, ties by the key itself.
+
+    Rows are counted first and cut to little more than wanted by their hash, so that what all tasks together send
+    does not grow with their number.
+    """
+    total = rows.count()
+    share = min(1.0, (size + 6 * size**0.5 + 50) / max(total, 1))
+    place = F.pmod(F.xxhash64(*key), F.lit(1 << 32))
+    some = rows.filter(place < F.lit(int(share * (1 << 32)))) if share < 1 else rows
+    return some.orderBy(place, *key).limit(size).collect()
+
+
 def batch_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``limit`` bytes of ``column``, or one longer text."""
     texts = batch.column(column)
