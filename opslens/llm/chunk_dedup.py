@@ -26,6 +26,8 @@ RUN_WORDS = 20
 SAME_WORDS = 14
 #: Bytes that the rolling hash sees.
 WINDOW = 16
+#: Stands for a null id, behind all others; a document of this very id would count as the null one.
+NO_ID = (1 << 63) - 1
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 
@@ -100,21 +102,22 @@ def _text_starts(texts: pa.Array) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Chunk rows of documents (doc_id, text): doc_id, version (of its text), digest, start, length, n_words."""
+    """Chunk rows of documents (doc_id, text): owner (the id, or ``NO_ID``), version (of its text), digest, start,
+    length, n_words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in batch_slices(batch, "text", 1 << 21):
                 found = chunk(some.column("text"), chunk_words)
                 rows = pa.array(found.pop("text"))
-                columns = [some.column("doc_id").take(rows), some.column("version").take(rows)]
+                columns = [some.column("owner").take(rows), some.column("version").take(rows)]
                 columns += [pa.array(v.astype(np.int64)) for v in found.values()]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", *found])
+                yield pa.RecordBatch.from_arrays(columns, ["owner", "version", *found])
 
     rows = named(docs, doc_id="doc_id", text="text").select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("owner"), F.xxhash64("text").alias("version"), "text"
     )
-    return rows.mapInArrow(run, "doc_id long, version long, digest long, start long, length long, n_words long")
+    return rows.mapInArrow(run, "owner long, version long, digest long, start long, length long, n_words long")
 
 
 def repeated_passages(
@@ -128,27 +131,28 @@ def repeated_passages(
     what repeats among them alone stays; a null id comes after all others and is one document.
     Null and empty texts have no passages, no documents give no rows.
     """
-    found = chunks(docs, chunk_words).withColumn("owner", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    found = chunks(docs, chunk_words)
     # Each task sends a digest once, however often it has it.
     seen = found.groupBy("digest").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
     # Digests are unique on the right, which is staged; those of many chunks are on the left, where Spark splits them.
     copies = stage(seen.filter("first < last").select("digest", "first"), "copies")
     later = found.join(copies, "digest").filter("owner > first")
-    later = later.select("doc_id", "owner", "version", "start", "length", "n_words", "first").distinct()
+    # Rows of one id and text are one document: its chunks are made one where it is put together.
+    later = later.select("owner", "version", "start", "length", "n_words", "first").distinct()
     order = Window.partitionBy("owner", "version").orderBy("start")
     breaks = (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(order), F.lit(-1))).cast("int")
     runs = later.withColumn("break", breaks).withColumn("run", F.sum("break").over(order))
-    shares = runs.groupBy("doc_id", "owner", "version", "run", "first").agg(
+    shares = runs.groupBy("owner", "version", "run", "first").agg(
         F.sum("n_words").alias("n_words"), F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("stop")
     )
-    passages = shares.groupBy("doc_id", "owner", "version", "run").agg(
+    passages = shares.groupBy("owner", "version", "run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
         F.sum("n_words").alias("n_words"),
         F.max(F.struct(F.col("n_words"), (-F.col("first")).alias("first"))).alias("most"),
     )
     return passages.filter((F.col("n_words") >= run_words) & (F.col("most.n_words") >= same_words)).select(
-        "doc_id",
+        F.nullif("owner", F.lit(NO_ID)).alias("doc_id"),
         "version",
         "start",
         (F.col("stop") - F.col("start")).alias("length"),
