@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslens.llm.common import named, stage
+from opslens.llm.common import hash_sample, named, stage
 
 #: Pivots, a bounded sample of the vectors, and how many of them an order keeps.
 PIVOTS = 256
@@ -43,7 +43,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def choose_pivots(rows: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     """Distinct vectors of the lowest id hashes; equal vectors, however many, give one pivot."""
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
+    some = hash_sample(rows, 4 * pivots, "vec_id", "vector")
     found = list(dict.fromkeys(tuple(r["vector"]) for r in some))[:pivots]
     return np.array(found, np.float64)
 
