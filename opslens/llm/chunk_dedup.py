@@ -1,9 +1,9 @@
 """Passages that repeat across documents, found by content-defined chunks.
 
 A gear hash rolls over a text's bytes; where its value behind a word falls below a limit, a chunk ends.  The hash
-sees the last 16 bytes only, so chunks fall into step again a few words after an insertion.  Chunks of equal digest
-are copies, the first document's stays, and a run of neighbouring copies long enough to be no chance is a
-repeated passage.
+sees the last 16 bytes only, so chunks fall into step again a few words after an insertion.  Single chunks are short
+and occur by chance, so windows are compared: neighbouring chunks of enough words together.  Windows of equal digest
+are copies, the first document's stays, and a run of copied windows is a repeated passage.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from opslens.llm.textbytes import mix, word_hashes, words
 #: Words of a chunk, on average, and at most: text that repeats with a short period may never end a chunk.
 CHUNK_WORDS = 4
 MOST_WORDS = 32
-#: Words of a run of copies, and how many of them must be one document's, to be a passage.
+#: Words of a run of copies to be a passage, and words in a row that must be one document's.
 RUN_WORDS = 20
 SAME_WORDS = 14
 #: Bytes that the rolling hash sees.
@@ -94,6 +94,42 @@ def chunk(texts: pa.Array, chunk_words: int = CHUNK_WORDS) -> dict[str, np.ndarr
     }
 
 
+def windows(found: dict[str, np.ndarray], same_words: int = SAME_WORDS) -> dict[str, np.ndarray]:
+    """The windows of ``chunk``'s chunks: text, digest, place and words.
+
+    From each chunk on, and up to each chunk, the fewest neighbouring chunks of one text that have ``same_words`` words
+    together.  So every run of chunks of that many words is covered from its first to its last.  place is the start in
+    characters, shifted by 32 bits, and the length; words the number of words before, shifted by 32 bits, and in it.
+    """
+    text, digest, n_words = found["text"], found["digest"].view(np.uint64), found["n_words"]
+    after = np.cumsum(n_words)
+    before = after - n_words
+    one = np.arange(len(text))
+    end = np.searchsorted(after, before + same_words)
+    begin = np.searchsorted(before, after - same_words, side="right") - 1
+    ahead = end < len(text)
+    ahead[ahead] = text[end[ahead]] == text[ahead]
+    back = begin >= 0
+    back[back] = text[begin[back]] == text[back]
+    # A window that is the shortest both ways is made once.
+    back[back] = end[begin[back]] != one[back]
+    first = np.concatenate([one[ahead], begin[back]])
+    last = np.concatenate([end[ahead], one[back]])
+    value = mix((last - first + 1).astype(np.uint64))
+    for k in range(int((last - first).max()) + 1 if len(first) else 0):
+        inside = first + k <= last
+        value[inside] = mix(value[inside] ^ digest[first[inside] + k])
+    opens = np.searchsorted(text, text[first]) if len(first) else first  # the text's first chunk
+    start = found["start"][first]
+    stop = found["start"][last] + found["length"][last]
+    return {
+        "text": text[first],
+        "digest": value.view(np.int64),
+        "place": start << 32 | stop - start,
+        "words": before[first] - before[opens] << 32 | after[last] - before[first],
+    }
+
+
 def _text_starts(texts: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
@@ -101,14 +137,14 @@ def _text_starts(texts: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Chunk rows of documents (doc_id, text): owner (the id, or ``NO_ID``), version (of its text), digest, start,
-    length, n_words."""
+def chunk_windows(docs: DataFrame, chunk_words: int = CHUNK_WORDS, same_words: int = SAME_WORDS) -> DataFrame:
+    """Window rows of documents (doc_id, text): owner (the id, or ``NO_ID``), version (of its text), digest, place,
+    words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in batch_slices(batch, "text", 1 << 21):
-                found = chunk(some.column("text"), chunk_words)
+                found = windows(chunk(some.column("text"), chunk_words), same_words)
                 rows = pa.array(found.pop("text"))
                 columns = [some.column("owner").take(rows), some.column("version").take(rows)]
                 columns += [pa.array(v.astype(np.int64)) for v in found.values()]
@@ -117,7 +153,7 @@ def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     rows = named(docs, doc_id="doc_id", text="text").select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("owner"), F.xxhash64("text").alias("version"), "text"
     )
-    return rows.mapInArrow(run, "owner long, version long, digest long, start long, length long, n_words long")
+    return rows.mapInArrow(run, "owner long, version long, digest long, place long, words long")
 
 
 def repeated_passages(
@@ -125,39 +161,44 @@ def repeated_passages(
 ) -> DataFrame:
     """Passages of documents (doc_id, text) that stand in a document of lower id: those a deduplication drops.
 
-    One row per passage: doc_id, version, start and length in characters, n_words, first_doc_id (the document that
-    has most of it first).  A passage is a run of neighbouring chunks that an earlier document has, of
-    ``run_words`` or more, ``same_words`` of which one document has first.  Rows of one id are one document, so
-    what repeats among them alone stays; a null id comes after all others and is one document.
+    One row per passage: doc_id, version, start and length in characters, n_words, first_doc_id (the first
+    document that has a window of it).  A passage is a run, of ``run_words`` or more, of windows that touch or overlap, of each of
+    which an earlier document has all ``same_words`` or more words in a row; what else stands in other documents
+    does not matter.  Rows of one id are one document, so what repeats among them alone stays; a null id comes after
+    all others and is one document.
     Null and empty texts have no passages, no documents give no rows.
     """
-    found = chunks(docs, chunk_words)
+    found = chunk_windows(docs, chunk_words, same_words)
     # Each task sends a digest once, however often it has it.
     seen = found.groupBy("digest").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
-    # Digests are unique on the right, which is staged; those of many chunks are on the left, where Spark splits them.
+    # Digests are unique on the right, which is staged; those of many windows are on the left, where Spark splits them.
     copies = stage(seen.filter("first < last").select("digest", "first"), "copies")
     later = found.join(copies, "digest").filter("owner > first")
-    # Rows of one id and text are one document: its chunks are made one where it is put together.
-    later = later.select("owner", "version", "start", "length", "n_words", "first").distinct()
-    order = Window.partitionBy("owner", "version").orderBy("start")
-    breaks = (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(order), F.lit(-1))).cast("int")
-    runs = later.withColumn("break", breaks).withColumn("run", F.sum("break").over(order))
-    shares = runs.groupBy("owner", "version", "run", "first").agg(
-        F.sum("n_words").alias("n_words"), F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("stop")
-    )
-    passages = shares.groupBy("owner", "version", "run").agg(
+    # Rows of one id and text are one document: its windows are made one where it is put together.
+    later = later.select("owner", "version", "place", "words", "first").distinct()
+    high = lambda c: F.shiftright(c, 32)
+    low = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
+    later = later.select(
+        "owner", "version", "first", high("place").alias("start"), (high("place") + low("place")).alias("stop"),
+        high("words").alias("word"), (high("words") + low("words")).alias("behind"),
+    )
+    # No window lies within another, so starts and stops rise together.
+    order = Window.partitionBy("owner", "version").orderBy("start", "stop")
+    reached = F.coalesce(F.lag("stop").over(order), F.lit(-1))
+    runs = later.withColumn("break", (F.col("start") > reached).cast("int")).withColumn("run", F.sum("break").over(order))
+    passages = runs.groupBy("owner", "version", "run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
-        F.sum("n_words").alias("n_words"),
-        F.max(F.struct(F.col("n_words"), (-F.col("first")).alias("first"))).alias("most"),
+        (F.max("behind") - F.min("word")).alias("n_words"),
+        F.min("first").alias("first"),
     )
-    return passages.filter((F.col("n_words") >= run_words) & (F.col("most.n_words") >= same_words)).select(
+    return passages.filter(F.col("n_words") >= run_words).select(
         F.nullif("owner", F.lit(NO_ID)).alias("doc_id"),
         "version",
         "start",
         (F.col("stop") - F.col("start")).alias("length"),
         "n_words",
-        (-F.col("most.first")).alias("first_doc_id"),
+        F.col("first").alias("first_doc_id"),
     )
 
 

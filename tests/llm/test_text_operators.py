@@ -226,6 +226,23 @@ def test_chunks_and_passages(spark):
             assert left[d, t]
 
 
+def test_passages_among_chance_chunks(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=rng.randint(2, 8)))
+    passages = [[word() for _ in range(51)] for _ in range(20)]
+    late = [(500 + i, " ".join([word() for _ in range(30)] + p + [word() for _ in range(30)]), "", "", "") for i, p in enumerate(passages)]
+    origins = [(400 + i, " ".join([word() for _ in range(20)] + p), "", "", "") for i, p in enumerate(passages)]
+    # Each chunk of up to 9 words of a late document is in an earlier document of its own, among other words.
+    short = [w for _, t, *_ in late for *_, n, w in brute_chunks(t) if n <= 9]
+    early = [(i, " ".join([*(word() for _ in range(8)), *(x.decode() for x in w), *(word() for _ in range(8))]), "", "", "") for i, w in enumerate(short)]
+    early = [(i - len(early), *rest) for i, *rest in early]
+    found = cd.repeated_passages(spark.createDataFrame(early + origins + late, DOCS)).collect()
+    alone = cd.repeated_passages(spark.createDataFrame(origins + late, DOCS)).collect()
+    # Other documents neither lose a passage nor change its bounds or its origin, nor make one.
+    assert sorted(map(tuple, found)) == sorted(map(tuple, alone))
+    assert {(r.doc_id, r.first_doc_id) for r in found} == {(500 + i, 400 + i) for i in range(20)}
+
+
 def test_statistics():
     texts = [*ODD[:-1], "One two two.\nOne two two.\n#$ A1!", "a b c d e a b c d e"]
     x = bt.statistics(pa.array(texts))
