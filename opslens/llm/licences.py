@@ -1,7 +1,8 @@
-"""Licences of files: TF-IDF cosine of their lines to templates, and inheritance from directories.
+"""Licences of files: TF-IDF cosine to licence texts and notices, and inheritance from directories.
 
-A line whose cosine to a licence template reaches a threshold carries the licence.  A file that is mostly such lines
-is a licence file, and files without a licence of their own take that of the licence file in the nearest
+Whole files and their headers (runs of neighbouring lines) are compared with whole licence texts, single lines with
+notices; a cosine that reaches a threshold carries the licence.  A file near a licence text as a whole, or mostly
+of notices, is a licence file, and files without a licence of their own take that of the licence file in the nearest
 directory above them.  All steps are DataFrame operations: terms, weights and paths are joined as rows.
 """
 
@@ -10,8 +11,9 @@ from __future__ import annotations
 import math
 import re
 from functools import reduce
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslens.llm.common import WORD, stage
@@ -32,7 +34,44 @@ TEMPLATES = [
     ("all-rights-reserved", "All rights reserved."),
 ]
 
-#: Least cosine of a line, and least share of a file's words in such lines for a licence file.
+#: Notices of licences that are near one of the above in words.
+NEIGHBOURS = [
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+]
+
+_GNU = """This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by
+the Free Software Foundation; either version {2} of the License, or (at your option) any later version.
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details.
+You should have received a copy of the GNU {1} along with this {0}. If not, see <https://www.gnu.org/licenses/>."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+permissions and limitations under the License."""
+#: Whole licence texts, and the headers that licences ask for.
+TEXTS = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(Path(__file__).with_name("licence_texts").glob("*.txt"))]
+TEXTS += [
+    ("Apache-2.0", _APACHE),
+    ("AGPL-3.0", _GNU.format("program", "Affero General Public License", "3")),
+    ("GPL-2.0", _GNU.format("program", "General Public License", "2")),
+    ("GPL-3.0", _GNU.format("program", "General Public License", "3")),
+    ("LGPL-2.1", _GNU.format("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("library", "Lesser General Public License", "3")),
+]
+
+#: Least cosine of a file, header or line, and least share of a file's words in such lines for a licence file.
 THRESHOLD = 0.6
 FILE_SHARE = 0.5
 #: A term: letters and digits, version numbers whole.
@@ -105,6 +144,80 @@ def scored_lines(lines: DataFrame, templates: list[tuple[str, str]], idf: dict[s
     return best.select("line", "best.licence", (-F.col("best.s")).alias("score"))
 
 
+def _damped(count: int, idf: float) -> float:
+    return (1 + math.log(count)) * idf
+
+
+def heavy_terms(words: list[str], idf: dict[str, float], threshold: float) -> tuple[list[str], int]:
+    """Heavy terms of a text, and how many of them whatever reaches the threshold with it must hold.
+
+    The cosine's square is at most the share of the text's squared weights whose terms are held (Cauchy-Schwarz).  Light
+    terms have half of the needed share at most, so heavy ones must make the other half.
+    """
+    squares = {t: _damped(words.count(t), idf[t]) ** 2 for t in set(words)}
+    half = threshold**2 * sum(squares.values()) / 2
+    order = sorted(squares, key=lambda t: (squares[t], t))
+    light = 0.0
+    while order and light + squares[order[0]] <= half:
+        light += squares[order.pop(0)]
+    most, got = 0, 0.0
+    while got < half * (1 - 1e-9) and most < len(order):
+        most += 1
+        got += squares[order[-most]]
+    return order, most
+
+
+def scored_texts(rows: DataFrame, texts: list[tuple[str, str]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """``version``, ``licence``, ``score`` and ``whole`` of texts (version, text) near a licence text; whole is the cosine
+    of the text as a whole, null if only a header of it reaches the threshold.
+
+    A header is a run of neighbouring lines, blank ones aside, that have at least half of their terms from the licence text.
+    Repeated terms count by the logarithm; a term of no licence text weighs as one of a single text.
+    """
+    spark = rows.sparkSession
+    vocabulary = _vocabulary(texts)
+    heavy = [heavy_terms(words, idf, threshold) for words in vocabulary]
+    listed = lambda held: F.split(F.lit(" ".join(sorted(held))), " ")
+    near = lambda held: F.array_compact(
+        F.array(*[F.when(F.size(F.array_intersect(held, listed(h))) >= m, F.lit(k)) for k, (h, m) in enumerate(heavy)])
+    )
+    held = F.array_intersect(terms(F.col("text")), listed(set().union(*[h for h, _ in heavy])))
+    # Through an array of one, so that the terms are found once a text.
+    some = rows.select("version", "text", F.explode(F.flatten(F.transform(F.array(held), near))).alias("template"))
+    # Equal texts are one text here.
+    some = stage(some.groupBy("version", "template").agg(F.any_value("text").alias("text")), "near-texts")
+
+    lengths, entries, names = [], [], []
+    for k, ((name, _), words) in enumerate(zip(texts, vocabulary, strict=True)):
+        weights = {t: _damped(words.count(t), idf[t]) for t in sorted(set(words))}
+        entries += [(k, t, x) for t, x in weights.items()]
+        lengths.append(math.sqrt(sum(x * x for x in weights.values())))
+        names.append((k, name, lengths[-1], sorted(weights)))
+    # The broadcast tables have a row per term of the licence texts.
+    template = F.broadcast(spark.createDataFrame(names, "template int, licence string, length double, own array<string>"))
+    entry = F.broadcast(spark.createDataFrame(entries, "template int, term string, weight double"))
+    used = sorted(set().union(*vocabulary))
+    weight = F.broadcast(spark.createDataFrame([(t, idf[t]) for t in used], "term string, idf double"))
+
+    lines = F.filter(F.transform(F.split("text", "\n"), terms), lambda t: F.size(t) > 0)
+    lines = some.join(template, "template").select("version", "template", "own", F.posexplode(lines).alias("at", "found"))
+    like = F.size(F.array_intersect("found", "own")) * 2 >= F.size(F.array_distinct("found"))
+    lines = stage(lines.select("version", "template", "at", "found", like.alias("like")), "near-lines")
+    order = Window.partitionBy("version", "template").orderBy("at")
+    runs = lines.filter("like").select("version", "template", (F.col("at") - F.row_number().over(order)).alias("run"), "found")
+    units = runs.unionByName(lines.select("version", "template", F.lit(None).cast("int").alias("run"), "found"))
+    counts = units.select("version", "template", "run", F.explode("found").alias("term")).groupBy("version", "template", "run", "term").count()
+    x = (1 + F.log("count")) * F.coalesce("idf", F.lit(weigh(n, 1)))
+    vector = counts.join(weight, "term", "left").join(entry, ["template", "term"], "left").withColumn("x", x)
+    sums = vector.groupBy("version", "template", "run").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    cosine = F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6)
+    best = sums.join(template, "template").select("version", "run", "licence", cosine.alias("score")).filter(F.col("score") >= threshold)
+    best = best.groupBy("version").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("best"), F.max(F.when(F.col("run").isNull(), F.col("score"))).alias("whole")
+    )
+    return best.select("version", "best.licence", (-F.col("best.s")).alias("score"), "whole")
+
+
 def directory(path: Column) -> Column:
     """The path without its last part; empty at the top, null for a null path."""
     return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.when(path.isNotNull(), F.lit("")))
@@ -117,18 +230,25 @@ def ancestors(path: Column) -> Column:
 
 
 def scan(
-    files: DataFrame, path: Column, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, file_share: float = FILE_SHARE
+    files: DataFrame,
+    path: Column,
+    templates: list[tuple[str, str]] = TEMPLATES + NEIGHBOURS,
+    threshold: float = THRESHOLD,
+    file_share: float = FILE_SHARE,
+    texts: list[tuple[str, str]] = TEXTS,
 ) -> DataFrame:
     """``_row`` (the whole row of ``files``, which has ``text``), path, licence, score, origin and origin_dir.
 
-    origin is 'own' (the best line's licence; ties go to the first name), 'inherited' (of the nearest directory at or
-    above the file's with a licence file; of several the one with the largest share of such lines, then the first path) or
-    null.  Null and empty texts have no lines, a null path has no directory.  Equal rows fare alike.
+    origin is 'own' (the licence of the best header or whole text, without one of the best line; ties go to the first
+    name), 'inherited' (of the nearest directory at or above the file's with a licence file; of several one near a licence
+    text as a whole, then that of the largest cosine or share of lines with a licence, then the first path) or null.  Null and empty texts have no lines, a null path has no directory.  Equal rows fare alike.
     """
     vocabulary = _vocabulary(templates)
     key = [path.alias("path"), F.xxhash64(files["text"]).alias("version")]
     rows = files.select(F.struct(*[files[f"`{c}`"] for c in files.columns]).alias("_row"), files["text"].alias("text"), *key)
-    n, found = document_frequencies(rows.select("text"), sorted(set(reduce(list.__add__, vocabulary))))
+    every = sorted(set(reduce(list.__add__, vocabulary + _vocabulary(texts))))
+    n, found = document_frequencies(rows.select("text"), every)
+    text_idf = {t: weigh(n, found.get(t, 0)) for t in every}
     idf = {t: weigh(n, found.get(t, 0)) for t in sorted(set(reduce(list.__add__, vocabulary)))}
     needed = F.array(*[F.lit(t) for t in anchors(vocabulary, idf, threshold)])
 
@@ -150,9 +270,18 @@ def scan(
         )
         .select("path", "version", "best.licence", (-F.col("best.s")).alias("score"), (F.col("licensed") / F.col("words")).alias("share"))
     )
-    own = stage(own, "own-licences")
-    named = own.filter((F.col("share") >= file_share) & F.col("path").isNotNull())
-    named = named.withColumn("dir", directory(F.col("path"))).groupBy("dir").agg(F.min(F.struct((-F.col("share")).alias("s"), "path", "licence", "score")).alias("best"))
+    near = stage(scored_texts(rows.select("version", "text"), texts, text_idf, n, threshold), "text-scores")
+    # The scored texts are distinct and staged; a text of many files is on the left.
+    near = rows.select("path", "version").join(near, "version").distinct()
+    own = own.withColumn("whole", F.lit(None).cast("double")).withColumn("kind", F.lit(1))
+    own = own.unionByName(near.withColumn("share", F.lit(None).cast("double")).withColumn("kind", F.lit(0)))
+    own = own.groupBy("path", "version").agg(
+        F.min(F.struct("kind", (-F.col("score")).alias("s"), "licence")).alias("best"), F.max("share").alias("share"), F.max("whole").alias("whole")
+    )
+    own = stage(own.select("path", "version", "best.licence", (-F.col("best.s")).alias("score"), "share", "whole"), "own-licences")
+    named = own.filter((F.col("whole").isNotNull() | (F.col("share") >= file_share)) & F.col("path").isNotNull())
+    rank = F.struct(F.col("whole").isNull().alias("notice"), (-F.coalesce("whole", "share")).alias("s"), "path", "licence", "score")
+    named = named.withColumn("dir", directory(F.col("path"))).groupBy("dir").agg(F.min(rank).alias("best"))
     named = stage(named.select("dir", "best.licence", "best.score"), "licence-files")
 
     dirs = rows.select(directory(F.col("path")).alias("dir")).filter(F.col("dir").isNotNull()).distinct()

@@ -132,6 +132,30 @@ def test_licences(spark):
     assert licences.scan(df.limit(0), df["name"]).count() == 0
 
 
+def test_licence_texts_and_headers(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("bcdfghjklm", k=rng.randint(3, 8)))
+    code = "\n".join(" ".join(word() for _ in range(6)) for _ in range(120))
+    texts = dict(licences.TEXTS[:-6])
+    bsd = texts["BSD-3-Clause"].splitlines()
+    commented = "\n".join(f" * {line}" for line in texts["ISC"].splitlines())
+    holder = "Copyright (c) 2020 Some Body. All rights reserved.\n\n"
+    files = [(f"full/{name}/LICENSE", holder + text, name) for name, text in texts.items()] + [(f"full/{name}/x/a.c", code, name) for name in texts]
+    files += [
+        ("cut/LICENSE", "Copyright (c) 2020\nAll rights reserved.\n" + "\n".join(bsd[: len(bsd) * 2 // 3]), "BSD-3-Clause"), ("cut/a.c", code, "BSD-3-Clause"),
+        ("head/b.c", f"/*\n{commented}\n */\n{code}", "ISC"), ("head/c.c", code, None),
+        ("gnu/b.c", dict(licences.TEXTS[-6:])["AGPL-3.0"] + "\n" + code, "AGPL-3.0"), ("gnu/c.c", code, None),
+        ("line/sa", code + "\nLicensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("line/by", code + "\nLicensed under CC BY 4.0.", "CC-BY-4.0"),
+    ]
+    df = spark.createDataFrame([(p, t) for p, t, _ in files], "name string, text string")
+    found = licences.scan(df, df["name"])
+    got = {r.path: r for r in found.collect()}
+    assert {p: r.licence for p, r in got.items()} == {p: w for p, _, w in files}
+    assert all((r.origin == "inherited") == (p.startswith(("full", "cut")) and p.endswith(".c")) for p, r in got.items() if r.licence)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_anchors_lose_no_line():
     """Every line that reaches the threshold holds an anchor."""
     rng = random.Random(8)
