@@ -21,6 +21,7 @@ from opslens.functions.parse import (
     parse_timestamp,
 )
 from opslens.functions.text import clean_code, clean_label, indent, route_label, title_words
+from opslens.functions.wide import ratio_to, wide, wide_decimal, wide_merge, wide_ratio, wide_sum, wide_text, wide_units
 
 __all__ = [
     "average",
@@ -42,8 +43,16 @@ __all__ = [
     "parse_timestamp",
     "percent",
     "percent_rounded",
+    "ratio_to",
     "round_to_long",
     "route_label",
     "tier",
     "title_words",
+    "wide",
+    "wide_decimal",
+    "wide_merge",
+    "wide_ratio",
+    "wide_sum",
+    "wide_text",
+    "wide_units",
 ]

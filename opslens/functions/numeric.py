@@ -1,8 +1,8 @@
 """Ratios, means and roundings that agree to the last digit between runs.
 
-Whole numbers and DECIMAL are worked on as DECIMAL with the scale they have, so
-halves round away from zero and the order in which partial sums meet does not
-matter.  DOUBLE stays DOUBLE: its sums are as exact as DOUBLE sums are.
+Whole numbers are divided as DECIMAL wide enough for them, so halves round away from zero and the order in which
+partial sums meet does not matter.  DECIMAL with digits behind the point is divided with a stated ``scale``, by
+``opslens.functions.wide``: Spark's own quotient of wide DECIMAL keeps six digits.  DOUBLE stays DOUBLE.
 """
 
 from __future__ import annotations
@@ -14,35 +14,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opslens.functions._col import as_col
+from opslens.functions.wide import wide, wide_ratio
 
 
-def exact(c: Column | str, factor: int = 1) -> Column:
-    """``factor`` times a number, whole types as DECIMAL.
-
-    The product with a DECIMAL literal takes its type from the input: a whole
-    type becomes wide enough for all its values, DECIMAL keeps its scale, DOUBLE
-    stays DOUBLE.  Sums of the result have ten digits more, up to 38.
-    """
+def _as_decimal(c: Column | str, factor: int = 1) -> Column:
+    """``factor`` times a number: the product with a DECIMAL literal makes a whole type wide enough for all its values."""
     return as_col(c) * F.lit(Decimal(factor))
 
 
-def exact_ratio(numerator: Column | str, denominator: Column | str, factor: int = 1) -> Column:
-    """``factor * numerator / denominator``; NULL when the denominator is zero."""
-    return exact(numerator, factor) / F.nullif(exact(denominator), F.lit(0))
+def exact_ratio(numerator: Column | str, denominator: Column | str, factor: int = 1, scale: int | None = None) -> Column:
+    """``factor * numerator / denominator``; NULL when the denominator is zero.
+
+    For whole numbers no scale is needed.  With one the parts may be any DECIMAL, ``factor`` is a power of ten, and the
+    result is DECIMAL(38, scale), rounded once.
+    """
+    if scale is not None:
+        return wide_ratio(wide(numerator), wide(denominator), factor, scale)
+    return _as_decimal(numerator, factor) / F.nullif(_as_decimal(denominator), F.lit(0))
 
 
-def percent(part: Column | str, whole: Column | str) -> Column:
+def percent(part: Column | str, whole: Column | str, scale: int | None = None) -> Column:
     """100 · part / whole; NULL when the whole is zero."""
-    return exact_ratio(part, whole, 100)
+    return exact_ratio(part, whole, 100, scale)
 
 
 def percent_rounded(part: Column | str, whole: Column | str, digits: int = 1) -> Column:
+    """100 · part / whole of whole numbers, rounded."""
     return F.round(percent(part, whole), digits)
 
 
-def average(total: Column | str, count: Column | str) -> Column:
+def average(total: Column | str, count: Column | str, scale: int | None = None) -> Column:
     """A mean from its two mergeable halves; NULL for an empty group."""
-    return exact_ratio(total, count)
+    return exact_ratio(total, count, 1, scale)
 
 
 def round_to_long(c: Column | str) -> Column:

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from opslens.functions.numeric import average, exact
-from opslens.operators.ranking import running_counts, share_of_total
+from opslens.functions.numeric import average
+from opslens.functions.wide import wide, wide_ratio, wide_sum
+from opslens.operators.ranking import is_whole, running_counts, share_of_total
 
 
 def value_share(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
@@ -86,7 +88,9 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def distribution_stats(df: DataFrame, column: str) -> DataFrame:
-    """One row, ``(mean, median, max)``, from one pass over the rows; the mean as exact as ``exact`` makes its sum.
+    """One row, ``(mean, median, max)``, from one pass over the rows.
+
+    The mean of DECIMAL is exact to 18 digits behind the point, that of DOUBLE is DOUBLE.
 
     The built-in exact median keeps every distinct value in the memory of one
     task.  Here values are counted first and staged with the rows before them;
@@ -102,8 +106,14 @@ def distribution_stats(df: DataFrame, column: str) -> DataFrame:
         covers = (F.col("rows_before") <= position) & (F.col("rows_before") + F.col("key_rows") > position)
         return F.max(F.when(covers, value.cast("double")))
 
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        mean = F.sum(value * F.col("key_rows")) / F.sum("key_rows")
+    elif is_whole(df.schema[column].dataType):
+        mean = average(F.sum(value.cast("decimal(38,0)") * F.col("key_rows")), F.sum("key_rows"))
+    else:
+        mean = wide_ratio(wide_sum(value, "key_rows"), wide(F.sum("key_rows")))
     return placed.agg(
-        average(F.sum(exact(value) * F.col("key_rows")), F.sum("key_rows")).alias("mean"),
+        mean.alias("mean"),
         ((at((rows - 1) // 2) + at(rows // 2)) / 2).alias("median"),
         F.max(value).alias("max"),
     )

@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from opslens.functions.numeric import exact, percent_rounded
+from opslens.functions.numeric import percent_rounded
+from opslens.functions.wide import UNIT, ratio_to, wide_sum, wide_units
 from opslens.sources.staging import stage
 
 
@@ -75,18 +77,29 @@ def global_rank(
     return table.join(places, same, "inner").select(*table.columns, name)
 
 
+def is_whole(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale == 0)
+
+
 def grand_total(df: DataFrame, column: str) -> Column:
-    """The sum of a column over the relation as a scalar subquery; see ``exact`` for its type."""
-    return df.agg(F.sum(exact(column))).scalar()
+    """The sum of a column of whole numbers (as DECIMAL) or of DOUBLE over the relation, as a scalar subquery."""
+    kind = "decimal(38,0)" if is_whole(df.schema[column].dataType) else "double"
+    return df.agg(F.sum(F.col(column).cast(kind))).scalar()
 
 
 def share_of_total(df: DataFrame, column: str, name: str, digits: int = 1, staged: bool = False) -> DataFrame:
     """Add 100 · column / total, rounded, without a window over all rows.
 
-    The input is staged (unless the caller has done so): total and shares both
-    read it, and what it was computed from is read once.
+    The input is staged (unless the caller has done so): total and shares both read it, and what it was computed from
+    is read once.  Shares of DECIMAL are exact whatever the size of the total, which is summed as a wide number and
+    read; a total of zero gives NULL.  DOUBLE is summed and divided as DOUBLE.
     """
     table = df if staged else stage(df, "to-share")
+    dtype = table.schema[column].dataType
+    if isinstance(dtype, T.DecimalType) and dtype.scale:
+        found = table.agg(wide_sum(column).alias("total"), F.min(column).alias("low"), F.max(column).alias("high")).first()
+        largest = max(abs(int(found[end] or 0)) + 1 for end in ("low", "high"))
+        return table.withColumn(name, ratio_to(column, wide_units(found["total"]), 100, digits, largest * UNIT))
     return table.withColumn(name, percent_rounded(column, grand_total(table, column), digits))
 
 

@@ -179,7 +179,7 @@ def route_performance(flights: DataFrame, airports: DataFrame) -> DataFrame:
         _rows().alias("total_flights"),
         F.sum("delay_minutes").alias("delay_sum"),
         F.sum("passengers_onboard").alias("total_pax"),
-        F.sum("cargo_kg").alias("cargo"),
+        fx.wide_sum("cargo_kg").alias("cargo"),
         F.count_if(_status("On Time")).alias("on_time_cnt"),
     )
     routes = look_up(
@@ -221,7 +221,7 @@ def route_performance(flights: DataFrame, airports: DataFrame) -> DataFrame:
             F.round("punctual", 1).alias("on_time_pct"),
             "performance_grade",
             "total_pax",
-            F.round("cargo", 0).alias("total_cargo_kg"),
+            fx.wide_decimal("cargo", 0).alias("total_cargo_kg"),
         )
     )
 
@@ -270,9 +270,12 @@ def revenue_share(flights: DataFrame, airlines: DataFrame, passengers: DataFrame
     )
 
 
-def ops_kpi(flights: DataFrame) -> DataFrame:
+def ops_kpi(flights: DataFrame, cargo_scale: int = 6) -> DataFrame:
     """One row of operating figures.
 
+    Weights are summed as wide numbers, so no number of trips overflows the total; it is returned with
+    ``cargo_scale`` digits behind the point and 38 in all.
+
     Grouping by carrier and route first leaves few rows for the distinct
     counts, instead of copying every trip once per distinct count.
     """
@@ -281,7 +284,7 @@ def ops_kpi(flights: DataFrame) -> DataFrame:
         _rows().alias("n"),
         F.sum("passengers_onboard").alias("pax"),
         F.sum("delay_minutes").alias("delay"),
-        F.sum("cargo_kg").alias("cargo"),
+        fx.wide_sum("cargo_kg").alias("cargo"),
         *[
             F.count_if(_status(label)).alias(name)
             for label, name in (("On Time", "on_time"), ("Delayed", "delayed"), ("Cancelled", "cancelled"))
@@ -294,7 +297,7 @@ def ops_kpi(flights: DataFrame) -> DataFrame:
         F.sum("pax").alias("total_pax"),
         F.sum("n").alias("n"),
         F.coalesce(F.sum("delay"), F.lit(0)).alias("delay"),
-        F.sum("cargo").alias("total_cargo_kg"),
+        fx.wide_merge("cargo").alias("cargo"),
         *[F.sum(name).alias(name) for name in ("on_time", "delayed", "cancelled")],
     )
     return totals.select(
@@ -304,7 +307,7 @@ def ops_kpi(flights: DataFrame) -> DataFrame:
         "total_pax",
         F.round(fx.average("delay", "n"), 1).alias("avg_delay_min"),
         *[fx.percent_rounded(name, "n").alias(f"{name}_pct") for name in ("on_time", "delayed", "cancelled")],
-        "total_cargo_kg",
+        fx.wide_decimal("cargo", cargo_scale).alias("total_cargo_kg"),
     )
 
 

@@ -508,6 +508,23 @@ _SQL: dict[str, tuple[str, str]] = {
         """SELECT CAST((2 * 10000 * CAST(sum(c) AS HUGEINT) + 100 * count(c)) // (2 * 100 * count(c)) AS DOUBLE) / 10000 AS mean, median(c)::DOUBLE / 100 AS median,
         max(c)::DOUBLE / 100 AS max FROM (SELECT CAST(round(CAST(l_extendedprice AS DECIMAL(15,2)) * 100) AS BIGINT) AS c FROM lineitem)""",
     ),
+    "share_of_cargo": (
+        "flights",
+        """, units AS (SELECT airline_iata, sum(CAST(floor(cargo_kg) AS HUGEINT)) AS w,
+          sum(CAST((cargo_kg - floor(cargo_kg)) * 1000000000000 AS HUGEINT)) AS f FROM flights GROUP BY 1),
+        cargo AS (SELECT airline_iata, (w * 1000000000000 + f)::HUGEINT AS u FROM units),
+        total AS (SELECT sum(u)::HUGEINT AS t FROM cargo)
+        SELECT airline_iata, CAST((2 * 1000000 * u + t) // (2 * t) AS DOUBLE) / 10000 AS pct FROM cargo, total""",
+    ),
+    "mean_cargo": (
+        "flights",
+        """, units AS (SELECT origin_iata, destination_iata, count(cargo_kg) AS n, sum(CAST(floor(cargo_kg) AS HUGEINT)) AS w,
+          sum(CAST((cargo_kg - floor(cargo_kg)) * 1000000000000 AS HUGEINT)) AS f FROM flights GROUP BY ALL),
+        nano AS (SELECT *, ((2 * (w * 1000000000000 + f) + 1000 * n) // (2 * 1000 * n))::HUGEINT AS q FROM units WHERE n > 0)
+        SELECT u.origin_iata, u.destination_iata,
+        (q // 1000000000)::VARCHAR || '.' || lpad((q % 1000000000)::VARCHAR, 9, '0') AS mean_cargo
+        FROM units u LEFT JOIN nano m ON u.origin_iata = m.origin_iata AND u.destination_iata = m.destination_iata""",
+    ),
     "value_share": (
         "",
         f"""SELECT o_orderpriority, n, {_pct("n", "t")} AS pct FROM

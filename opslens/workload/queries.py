@@ -470,6 +470,24 @@ def distribution_fractions(w: Warehouse) -> DataFrame:
     return stats.withColumns({"mean": F.round("mean", 4), "median": F.round("median", 3)})
 
 
+@query
+def share_of_cargo(w: Warehouse) -> DataFrame:
+    """Each carrier's share of all weight, whose total passes the range of the column's type."""
+    per_carrier = w.clean("flights").groupBy("airline_iata").agg(fx.wide_sum("cargo_kg").alias("cargo"))
+    cargo = per_carrier.select("airline_iata", fx.wide_decimal("cargo", 12).alias("cargo"))
+    return op.share_of_total(cargo, "cargo", "pct", digits=4).select("airline_iata", "pct")
+
+
+@query
+def mean_cargo(w: Warehouse) -> DataFrame:
+    """Mean weight of every route, to nine digits behind the point, as text so that all are compared."""
+    routes = w.clean("flights").groupBy("origin_iata", "destination_iata").agg(
+        fx.wide_sum("cargo_kg").alias("cargo"), F.count("cargo_kg").alias("n")
+    )
+    mean = fx.wide_ratio(F.col("cargo"), fx.wide("n"), scale=9)
+    return routes.select("origin_iata", "destination_iata", mean.cast("string").alias("mean_cargo"))
+
+
 @query
 def value_share(w: Warehouse) -> DataFrame:
     return op.value_share(table(w.spark, w.sf_dir, "orders"), "o_orderpriority")
