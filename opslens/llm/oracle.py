@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from opslens.llm.licences import TEMPLATES, TERM
+from opslens.llm.link_trust import DAMPING, LEAST_DISTRUST, LINK, RULES, SEED
 
 #: A word, as in ``common.WORD``.
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -141,3 +142,119 @@ SELECT f.doc_id, f.path, coalesce(o.licence, u.licence) AS licence, coalesce(o.s
        CASE WHEN o.licence IS NULL THEN u.dir END AS origin_dir
 FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN up u ON u.below = regexp_replace(f.path, '/[^/]*$', '')
 """
+
+ORACLE_SQL["op11_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), found AS (
+    SELECT d, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), counts AS (SELECT lang, source, term, count(*) AS c FROM found JOIN kept USING (lang, term) GROUP BY ALL
+), vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), sizes AS (
+    SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(c), 0)::HUGEINT AS n
+    FROM groups LEFT JOIN vocabulary USING (lang) LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), weights AS (
+    SELECT lang, source, term, coalesce(c, 0) AS c, (1 + 1000000000::HUGEINT * (coalesce(c, 0) + 1) // (n + v))::HUGEINT AS p
+    FROM sizes JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), whole AS (
+    SELECT lang, term, (1 + 1000000000::HUGEINT * (sum(c) + 1)::HUGEINT // (sum(sum(c)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT)::HUGEINT AS q
+    FROM weights GROUP BY lang, term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+    FROM weights a JOIN weights b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM weights JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "C")::INT AS rank FROM parts
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+_RULES = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+_FITS = [f"(host = '{on}' OR ends_with(host, '.{on}')) AND starts_with(path, '{start}')" for _, on, start in _RULES]
+_RULE = " ".join(f"WHEN {fits} THEN '{on + start}'" for fits, (_, on, start) in zip(_FITS, _RULES, strict=True))
+_RULED = " ".join(f"WHEN {fits} THEN '{verdict}'" for fits, (verdict, _, _) in zip(_FITS, _RULES, strict=True))
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ADDRESS = "regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', {})"
+
+ORACLE_SQL["op12_link_trust"] = rf"""
+WITH RECURSIVE parted AS (
+    SELECT page_id, html, coalesce({_LOWERED.format(_ADDRESS.format(1))}, '') AS host, coalesce({_ADDRESS.format(2)}, '') AS path FROM pages
+), ruled AS (SELECT *, CASE {_RULE} END AS rule, CASE {_RULED} END AS ruled FROM parted
+), seeds AS (
+    SELECT 'trust' AS kind, host, (count(*) FILTER (WHERE ruled = 'allow') * {SEED}) // count(*) AS mass FROM ruled WHERE host <> '' GROUP BY host
+    UNION ALL
+    SELECT 'distrust', host, (count(*) FILTER (WHERE ruled = 'block') * {SEED}) // count(*) FROM ruled WHERE host <> '' GROUP BY host
+), links AS (
+    SELECT DISTINCT src, dst FROM (
+        SELECT host AS src, {_LOWERED.format("unnest(regexp_extract_all(html, '" + LINK.replace("'", "''") + "', 1))")} AS dst FROM ruled WHERE host <> ''
+    ) WHERE src <> dst
+), lanes AS (
+    SELECT 'trust' AS kind, src AS a, dst AS b, count(*) OVER (PARTITION BY src) AS degree FROM links
+    UNION ALL
+    SELECT 'distrust', dst, src, count(*) OVER (PARTITION BY dst) FROM links
+), flow AS (
+    SELECT 0 AS r, kind, host, mass::BIGINT AS mass FROM seeds WHERE mass > 0
+    UNION ALL
+    SELECT r + 1, f.kind, b, sum(mass * {DAMPING} // (100 * degree))::BIGINT
+    FROM flow f JOIN lanes l ON f.kind = l.kind AND f.host = l.a GROUP BY r, f.kind, b HAVING sum(mass * {DAMPING} // (100 * degree)) > 0
+), masses AS (
+    SELECT host, coalesce(sum(mass) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(mass) FILTER (WHERE kind = 'distrust'), 0) AS distrust
+    FROM flow GROUP BY host
+)
+SELECT page_id, r.host, path, rule,
+       coalesce(ruled, CASE WHEN distrust >= {LEAST_DISTRUST} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN masses m ON r.host = m.host
+"""
+
+#: crc32 of a decimal id, from the table of its polynomial.
+_CRC = """
+WITH RECURSIVE bits AS (
+    SELECT i, i::BIGINT AS x, 0 AS k FROM range(256) t(i)
+    UNION ALL
+    SELECT i, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM bits WHERE k < 8
+), entries AS (SELECT i, x FROM bits WHERE k = 8
+), ids AS (SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL
+), steps AS (
+    SELECT c, s, 4294967295::BIGINT AS x, 1 AS pos FROM ids
+    UNION ALL
+    SELECT c, s, xor(t.x >> 8, e.x), pos + 1 FROM steps t JOIN entries e ON e.i = xor(t.x % 256, ascii(substr(s, pos, 1))) WHERE pos <= length(s)
+), heads AS (SELECT c, xor(x, 4294967295) % 4 AS h FROM steps WHERE pos = length(s) + 1
+)"""
+
+ORACLE_SQL["op13_prefix_trie"] = (
+    _CRC
+    + rf""", original AS (
+    SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, '') COLLATE "C", coalesce(text, '') COLLATE "C") AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+    SELECT o.c, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+    FROM original o JOIN heads USING (c) LEFT JOIN original b ON b.c = o.c - o.c % 20
+), prefixes AS (
+    SELECT c, len(turns) AS length, d, turns[1:d] AS prefix FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT d, prefix, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE length = d), '')) AS ends_sha256,
+           CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(prefix[d].text, '{_WORD}')) END AS words
+    FROM prefixes GROUP BY d, prefix
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.prefix[1:n.d] = n.prefix) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.prefix = n.prefix[1:n.d - 1]
+), totals AS (
+    SELECT d, prefix, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+    FROM (SELECT unnest(range(x.d + 1)) AS d, x.prefix AS longest, n_children, n_convs, words FROM linked x) u,
+         LATERAL (SELECT u.longest[1:u.d] AS prefix) l GROUP BY ALL
+)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM linked JOIN totals USING (d, prefix)
+"""
+)

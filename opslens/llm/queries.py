@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.llm import boosted_trees, chunk_dedup, decision_list, jaccard_join, licences, line_frequency, mixing, permutation_index, repacking, wavelet
+from opslens.llm import boosted_trees, chunk_dedup, decision_list, jaccard_join, licences, line_frequency, link_trust, mixing, permutation_index, prefix_trie, repacking, source_divergence, wavelet
 from opslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,4 +83,37 @@ def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted_trees.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_wavelet, op2_licences, op3_permutation_index, op4_decision_list, op5_jaccard_join, op6_repacking, op7_line_frequency, op8_chunk_dedup, op9_mixing, op10_boosted_trees)}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources against each other over all kept terms, and each source's 200 terms that stand out in its language."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    found = link_trust.judge(table(spark, sf_dir, "pages"), "url", "html")
+    return found.select(F.col("_row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of rebuilt conversations, a row per node."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_wavelet,
+        op2_licences,
+        op3_permutation_index,
+        op4_decision_list,
+        op5_jaccard_join,
+        op6_repacking,
+        op7_line_frequency,
+        op8_chunk_dedup,
+        op9_mixing,
+        op10_boosted_trees,
+        op11_divergence,
+        op12_link_trust,
+        op13_prefix_trie,
+    )
+}
