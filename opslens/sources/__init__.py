@@ -10,6 +10,7 @@ from opslens.sources.tables import (
     read_database,
     read_parquet,
     replace_table,
+    vacuum_table,
     write_csv,
 )
 
@@ -24,5 +25,6 @@ __all__ = [
     "replace_table",
     "stage",
     "staging_root",
+    "vacuum_table",
     "write_csv",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opslens.sources.commits import CommitLog
+
 # Doubled quotes inside quoted fields, blanks kept, line breaks allowed inside
 # fields, microseconds written: what goes out comes back unchanged.
 _CSV_COMMON = {
@@ -27,7 +30,8 @@ _EMPTY_TEXT = "\ue000empty\ue000"
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet file or folder, or a table that ``append_rows`` and ``replace_table`` have committed."""
+    return spark.read.parquet(*(CommitLog(spark, path).current() or [path]))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
@@ -79,15 +83,36 @@ def read_database(
     return reader.load()
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to a Parquet table, creating it on first use."""
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Add rows to a committed table, creating it on first use; whether they were added.
+
+    A ``batch`` that the table has is not added again, so a job may be repeated.  Without one every call adds.  Readers
+    see all rows of a call or none.
+    """
+    log = CommitLog(df.sparkSession, path)
+    if batch is not None and log.holds(batch):
+        return False
+    folder = log.new_folder()
+    df.write.parquet(f"{log.path}/{folder}")
+    log.commit("append", folder, batch)
+    return True
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Rebuild a Parquet table from a query and return the stored table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Rebuild a committed table from a query, which may read the table itself, and return the stored table.
+
+    A build that fails leaves the old rows; so do readers that began before.  ``vacuum_table`` deletes old folders.
+    """
+    log = CommitLog(df.sparkSession, path)
+    folder = log.new_folder()
+    df.write.parquet(f"{log.path}/{folder}")
+    log.commit("replace", folder)
+    return df.sparkSession.read.schema(df.schema).parquet(*log.current())
+
+
+def vacuum_table(spark: SparkSession, path: str) -> int:
+    """Delete what replaced and failed writes have left of a committed table; returns the number of folders."""
+    return CommitLog(spark, path).vacuum()
 
 
 def _read_cached(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
@@ -109,17 +134,21 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Tables from their CSV cache if all are there, else from ``source``.
 
-    A cached table is ``<name>.csv``, one file or a folder of them.  In the
-    second case the cache is written first and the tables are read back from
-    it, so both ways return the same rows.
+    The cache is one committed folder of ``<name>.csv`` tables: all are written, then the folder is committed, so a
+    load never mixes tables of two builds.  Without one, ``<name>.csv`` files or finished folders in ``cache_dir``
+    itself count, if all are there.  Tables that come from ``source`` are read back from the new cache, so both ways
+    return the same rows.
     """
-    paths = {name: f"{cache_dir}/{name}.csv" for name in schemas}
-    cached = {name: _read_cached(spark, paths[name], schema) for name, schema in schemas.items()}
-    if all(df is not None for df in cached.values()):
-        return cached
-    for name, path in paths.items():
-        write_csv(source(name), path)
-    return {name: read_csv(spark, paths[name], schema) for name, schema in schemas.items()}
+    log = CommitLog(spark, cache_dir)
+    for folder in [*log.current(), cache_dir]:
+        cached = {name: _read_cached(spark, f"{folder}/{name}.csv", schema) for name, schema in schemas.items()}
+        if all(df is not None for df in cached.values()):
+            return cached
+    folder = f"data-{uuid.uuid4().hex}"
+    for name in schemas:
+        write_csv(source(name), f"{log.path}/{folder}/{name}.csv")
+    log.commit("replace", folder)
+    return {name: read_csv(spark, f"{log.path}/{folder}/{name}.csv", schema) for name, schema in schemas.items()}
 
 
 def load_profile(tables: Mapping[str, DataFrame]) -> DataFrame:

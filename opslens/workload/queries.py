@@ -275,12 +275,13 @@ def cached_load(w: Warehouse) -> DataFrame:
 
 @query
 def append_replace(w: Warehouse) -> DataFrame:
-    """A table rebuilt from a query, then appended to."""
+    """A table appended to, rebuilt from itself, and appended to by a job that runs twice."""
     suppliers = table(w.spark, w.sf_dir, "supplier").select("s_suppkey", "s_name")
     path = new_path(w.spark, "landing")
     io.append_rows(suppliers, path)
-    io.replace_table(suppliers, path)
-    io.append_rows(suppliers.withColumn("s_name", F.upper("s_name")), path)
+    io.replace_table(io.read_parquet(w.spark, path), path)
+    for _ in range(2):
+        io.append_rows(suppliers.withColumn("s_name", F.upper("s_name")), path, batch="upper")
     return io.read_parquet(w.spark, path)
 
 

@@ -1,6 +1,6 @@
 import itertools
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opslens import operators as op
+from opslens.operators import network
 
 
 def rows(df):
@@ -184,6 +185,36 @@ def test_hop_network_equals_all_paths(spark, seed):
     assert got.count() == got.distinct().count()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_hop_network_of_five_hops(spark, seed):
+    rng = random.Random(50 + seed)
+    nodes = [f"v{i}" for i in range(9)]
+    edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range((14, 22, 40)[seed])]
+    got = op.hop_network(
+        spark.createDataFrame([(n,) for n in nodes], "code string"), spark.createDataFrame(edges, "o string, d string"),
+        "v0", 5, "code", "o", "d",
+    )
+    assert {tuple(r) for r in got.collect()} == brute_force_levels(set(nodes), set(edges), "v0", 5)
+
+
+@pytest.mark.parametrize(("size", "hops_left"), [(1, 3), (2, 2), (3, 1), (2, 0)])
+def test_representatives_stand_for_all_sets(spark, size, hops_left):
+    """Whatever vertices follow, if one set allows them a kept set does; few are kept of very many."""
+    names = [f"v{i}" for i in range(8)]
+    rng = random.Random(size * 10 + hops_left)
+    every = [list(c) for c in itertools.combinations(names, size)]
+    sets = [("x", s) for s in every] + [("y", s) for s in rng.sample(every, min(4, len(every)))]
+    kept = defaultdict(list)
+    for r in network.representatives(spark.createDataFrame(sets, "vertex string, between array<string>"), hops_left).collect():
+        kept[r.vertex].append(set(r.between))
+    for vertex in "xy":
+        mine = [set(s) for v, s in sets if v == vertex]
+        assert all(k in mine for k in kept[vertex])
+        assert len(kept[vertex]) <= network.state_bound(size + 1, size + 1 + hops_left)
+        for follow in itertools.combinations(names, hops_left):
+            assert any(s.isdisjoint(follow) for s in mine) == any(s.isdisjoint(follow) for s in kept[vertex])
+
+
 def test_hop_network_is_not_shortest_distance(spark):
     nodes = spark.createDataFrame([("a",), ("b",), ("c",)], "code string")
     edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "c"), ("a", "b")], "o string, d string")

@@ -4,10 +4,11 @@ import os
 import pytest
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from opslens import functions as fx
 from opslens import sources as io
-from opslens.sources import staging
+from opslens.sources import commits, staging
 
 ROWS = [
     (1, " padded ", 'say "hi", ok', "line\nbreak", None, datetime.datetime(2024, 1, 1, 0, 0, 7, 179575)),
@@ -157,3 +158,70 @@ def test_decimal_beyond_the_type_is_told(texts):
     assert texts(fx.beyond_decimal("c", signed=True), values) == [False, False, True, True, False, False, False, False, False]
     got = texts(fx.parse_decimal("c", signed=True), values[:3])
     assert [None if v is None else format(v.normalize(), "f") for v in got] == ["1234.56789", "9999999999999999.5", None]
+
+
+def failing(df):
+    return df.withColumn("a", F.when(F.col("id") >= 0, F.raise_error(F.lit("stop"))).cast("string"))
+
+
+def test_failed_rebuild_leaves_the_old_table(spark, df, tmp_path):
+    path = str(tmp_path / "t")
+    io.replace_table(df, path)
+    before = io.read_parquet(spark, path)
+    with pytest.raises(Exception, match="stop"):
+        io.replace_table(failing(df), path)
+    with pytest.raises(Exception, match="stop"):
+        io.append_rows(failing(df), path)
+    assert same(io.read_parquet(spark, path)) and same(before)
+    assert io.vacuum_table(spark, path) == 2 and same(io.read_parquet(spark, path))
+
+
+def test_table_is_rebuilt_from_itself(spark, df, tmp_path):
+    path = str(tmp_path / "t")
+    io.append_rows(df, path)
+    old = io.read_parquet(spark, path)
+    io.replace_table(old.unionByName(old), path)
+    assert old.count() == 3 and io.read_parquet(spark, path).count() == 6
+    assert io.vacuum_table(spark, path) == 1 and io.read_parquet(spark, path).count() == 6
+
+
+def test_repeated_batch_adds_rows_once(spark, df, tmp_path):
+    path = str(tmp_path / "t")
+    assert io.append_rows(df, path, "day 1") and not io.append_rows(df, path, "day 1")
+    assert io.append_rows(df, path, "day 2/ü") and not io.append_rows(df, path, "day 2/ü")
+    assert io.read_parquet(spark, path).count() == 6
+    io.replace_table(df, path)
+    assert not io.append_rows(df, path, "day 1") and same(io.read_parquet(spark, path))
+
+
+def test_a_batch_committed_by_two_runs_counts_once(spark, df, tmp_path):
+    path = str(tmp_path / "t")
+    log = commits.CommitLog(spark, path)
+    folders = [log.new_folder() for _ in range(2)]
+    for folder in folders:  # both runs saw a table without the batch
+        df.write.parquet(f"{path}/{folder}")
+    for folder in folders:
+        log.commit("append", folder, "day 1")
+    assert same(io.read_parquet(spark, path))
+
+
+def test_foreign_files_are_not_taken_for_a_table(spark, df, tmp_path):
+    df.write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="not committed"):
+        io.append_rows(df, str(tmp_path / "t"))
+    assert same(io.read_parquet(spark, str(tmp_path / "t")))
+
+
+def test_cache_never_mixes_two_builds(spark, df, tmp_path):
+    """A build that fails after its first table leaves the old set; the next load takes that, whole."""
+    schemas, cache = {"one": df.schema, "two": df.schema}, str(tmp_path / "cache")
+    with pytest.raises(Exception, match="stop"):
+        io.load_tables(spark, schemas, cache, lambda name: failing(df) if name == "two" else df)
+    asked = []
+    loaded = io.load_tables(spark, schemas, cache, lambda name: asked.append(name) or df)
+    assert asked == ["one", "two"] and same(loaded["one"]) and same(loaded["two"])
+    wider = {**schemas, "three": df.schema}
+    with pytest.raises(Exception, match="stop"):
+        io.load_tables(spark, wider, cache, lambda name: failing(df) if name == "three" else df.limit(1))
+    again = io.load_tables(spark, schemas, cache, lambda name: pytest.fail(name))
+    assert same(again["one"]) and same(again["two"])
