@@ -32,7 +32,9 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver's, in a session that splits hot keys of joins even for one more exchange."""
     importable(spark)
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,13 +4,15 @@ A byte-level BPE always cuts a text before a space that is followed by a visible
 an ASCII letter and another ASCII character, and after a lone line break, and never merges across such
 a cut.  So the ids of a text are the ids of its pieces in a row, and a piece met before need not be
 encoded again: the texts of a batch are cut with numpy on the Arrow bytes, pieces are looked up in a
-cache, and only new ones go through the ``tokenizers`` library, many at a time.  The result equals ``encode(text, add_special_tokens=False)``
-(``tests/llm/test_encode.py``).
+cache, and only new ones go through the ``tokenizers`` library, many at a time.  Added tokens, such as an end mark, are
+cut out of a text first, as the library does, and what stands between them is encoded on its own.  The result equals
+``encode(text, add_special_tokens=False)`` (``tests/llm/test_tokens.py``).
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +59,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take in what stands around them are not supported")
+        self.added = {t.content: i for i, t in added.items()}
+        longest_first = sorted(filter(None, self.added), key=len, reverse=True)
+        self.cut = re.compile("|".join(f"({re.escape(t)})" for t in longest_first)) if longest_first else None
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.n_ids = max(vocabulary.values()) + 1
         self.id_type = np.uint16 if self.n_ids <= 1 << 16 else np.uint32
@@ -115,6 +122,30 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids start and end (n + 1 offsets)."""
         data, offsets = text_buffers(texts)
+        whole = data.tobytes() if self.added else b""
+        if any(t.encode() in whole for t in self.added):
+            return self._encode_around(texts)
+        return self._encode_plain(data, offsets)
+
+    def _encode_around(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts of which some hold added tokens."""
+        between, marks, counts = [], [], []
+        for text in texts.to_pylist():
+            parts = [p for p in self.cut.split(text or "") if p is not None]
+            between += [None if p in self.added else p for p in parts]
+            marks += [self.added.get(p, -1) for p in parts]
+            counts.append(len(parts))
+        ids, offsets = self._encode_plain(*text_buffers(pa.array(between, pa.large_string())))
+        mark = np.array(marks, np.int64)
+        lengths = np.where(mark >= 0, 1, np.diff(offsets))
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(ends[-1], self.id_type)
+        special = np.zeros(ends[-1], dtype=bool)
+        special[ends[:-1][mark >= 0]] = True
+        out[special], out[~special] = mark[mark >= 0], ids
+        return out, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _encode_plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.empty(0, self.id_type), np.zeros(len(offsets), np.int64)
         opens = np.zeros(len(data), dtype=bool)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from functools import reduce
-from pathlib import Path
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +61,13 @@ Unless required by applicable law or agreed to in writing, software distributed
 WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
 permissions and limitations under the License."""
 #: Whole licence texts, and the headers that licences ask for.
-TEXTS = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(Path(__file__).with_name("licence_texts").glob("*.txt"))]
+TEXTS = sorted(
+    (p.name.removesuffix(".txt"), p.read_text(encoding="utf-8"))
+    for p in files("opslens.llm").joinpath("licence_texts").iterdir()
+    if p.name.endswith(".txt")
+)
+if not TEXTS:
+    raise FileNotFoundError("the licence texts are not installed with the library")
 TEXTS += [
     ("Apache-2.0", _APACHE),
     ("AGPL-3.0", _GNU.format("program", "Affero General Public License", "3")),

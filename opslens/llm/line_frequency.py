@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from opslens.llm.common import SPACES, stage
 
-#: A line on more than this share of a host's pages, and on this many pages at least, is boilerplate.
+#: A line on more than this share of a host's pages is boilerplate, if it repeats: a line on one page of a small host
+#: is that page's text.
 RATIO = 0.2
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 #: Parts of a page that are no text, tags that end a line, and all other tags.
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"

@@ -59,7 +59,7 @@ WITH visible AS (
 ), often AS (
     SELECT host, bare FROM (SELECT host, bare, count(DISTINCT page_id) AS pages FROM lines
                             WHERE bare <> '' AND host IS NOT NULL GROUP BY host, bare) JOIN totals USING (host)
-    WHERE pages >= 5 AND pages > 0.2 * total
+    WHERE pages >= 2 AND pages > 0.2 * total
 ), marked AS (
     SELECT l.*, o.bare IS NOT NULL AS gone FROM lines l LEFT JOIN often o ON l.host = o.host AND l.bare = o.bare
 )

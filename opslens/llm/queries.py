@@ -51,13 +51,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents packed into sequences of 2048 ids."""
+    """Documents packed into sequences of 2048 ids, with their group's number of sequences and its lower bound."""
     found = repacking.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
-    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "n_bins", "bound")
 
 
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages as visible lines, without those that stand on over a fifth of their host's pages."""
+    """Web pages as visible lines, without those that repeat on over a fifth of their host's pages."""
     pages = table(spark, sf_dir, "pages")
     text, site = line_frequency.visible_lines(pages["html"]), line_frequency.host(pages["url"])
     found = line_frequency.drop_boilerplate(pages, text, site)

@@ -25,9 +25,8 @@ from opslens.llm.encode import encoder, with_end
 CAPACITY = 2048
 #: Pieces of a group, on average.
 GROUP_PIECES = 16_384
-#: Groups with a gap that exchange documents, on average, and how often.
+#: Groups with a gap that exchange documents, on average.
 FAN = 8
-ROUNDS = 2
 
 #: Group numbers of a round start at a multiple of one, sequence numbers of a group at a multiple of the other.
 _ROUND, _BINS = 1 << 36, 1 << 22
@@ -163,10 +162,12 @@ def pack(
     capacity: int = CAPACITY,
     group_pieces: int = GROUP_PIECES,
     fan: int = FAN,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Pack pieces (``PIECES``) into sequences of at most ``capacity`` ids.
 
+    Groups with a gap exchange until fewer than two are left or a round saves no sequence (or for ``rounds`` rounds).
+
     One row per piece with sequence_id, offset, and n_bins and bound of the group it was last packed in.  Repeated
     rows are packed each on its own.  No pieces give no rows.
     """
@@ -176,10 +177,11 @@ def pack(
     groups = max(1, -(-sharing.count() // group_pieces))
     dealt = sharing.withColumn("next", F.pmod(F.xxhash64("row"), F.lit(groups)))
     placed = stage(dealt.groupBy("next").applyInArrow(_pack(capacity), _PLACED), "packed")
-    done = []
-    for r in range(1, rounds + 1):
+    done, r = [], 0
+    while rounds is None or r < rounds:
+        r += 1
         gap = (F.col("n_bins") > F.col("bound")) & ~F.col("full")
-        open_groups = placed.filter(gap).agg(F.count_distinct("home")).first()[0]
+        open_groups, before = placed.filter(gap).agg(F.count_distinct("home"), F.count_distinct("home", "bin")).first()
         if open_groups < 2:
             break
         done.append(placed.filter(~gap))
@@ -187,6 +189,8 @@ def pack(
         home = F.lit(r * _ROUND) + F.pmod(F.xxhash64("home", F.lit(r)), F.lit(unions))
         again = placed.filter(gap).withColumn("next", home).groupBy("next")
         placed = stage(again.applyInArrow(_pack(capacity), _PLACED), f"packed-{r}")
+        if placed.agg(F.count_distinct("home", "bin")).first()[0] == before:
+            break
     found = reduce(DataFrame.unionByName, [*done, placed])
     shared = found.withColumn("sequence_id", F.col("home") * _BINS + F.col("bin"))
     alone = rows.filter(F.col("length") == capacity).select(

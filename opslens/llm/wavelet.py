@@ -282,10 +282,16 @@ def corpus_index(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOK
     path = new_path(spark, "wavelet")
     write_shards(docs, path, vocabulary, shard_tokens)
     found = stage(shard_documents(read_shards(spark, path)), "wavelet-documents")
-    # One row per shard file meets in one task: some millions of them for 100 TB.
-    before = Window.orderBy("part", "sequence").rowsBetween(Window.unboundedPreceding, -1)
+    # Shards add up within the part that one task has written, and only parts' totals, one row each, meet in one task.
+    ahead = [Window.unboundedPreceding, -1]
     totals = found.groupBy("part", "sequence").agg(F.sum("n_tokens").alias("shard_tokens"))
-    bases = totals.select("part", "sequence", F.coalesce(F.sum("shard_tokens").over(before), F.lit(0)).alias("base"))
+    inside = F.sum("shard_tokens").over(Window.partitionBy("part").orderBy("sequence").rowsBetween(*ahead))
+    parts = totals.groupBy("part").agg(F.sum("shard_tokens").alias("part_tokens"))
+    earlier = F.sum("part_tokens").over(Window.orderBy("part").rowsBetween(*ahead))
+    parts = parts.select("part", F.coalesce(earlier, F.lit(0)).alias("part_base"))
+    bases = totals.withColumn("inside", F.coalesce(inside, F.lit(0))).join(parts, "part").select(
+        "part", "sequence", (F.col("part_base") + F.col("inside")).alias("base")
+    )
     return found.join(bases, ["part", "sequence"]).select(
         "doc_id",
         (F.col("base") + F.col("shard_start")).alias("start"),

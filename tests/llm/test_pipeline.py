@@ -56,7 +56,7 @@ def test_pipeline(spark, tmp_path):
     assert 40 < len(kept) < len(rows) and not any("#|" in r[1] for r in kept)
     url = lambda s: None if s is None else f"x://{s}"
     texts = {}
-    for p, _, _, text in brute_lines([(r[0], r[1], url(r[3])) for r in kept], 0.2, 5):
+    for p, _, _, text in brute_lines([(r[0], r[1], url(r[3])) for r in kept], 0.2, 2):
         texts.setdefault(p, text)
     assert any("common line" in r[1] and "common line" not in texts[r[0]] for r in kept)
     kept = [(r[0], texts[r[0]], r[2], r[3], len(texts[r[0]])) for r in kept]

@@ -17,7 +17,7 @@ from opslens.llm.encode import Encoder, with_end
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n\nb", "a  b", "a  b", "a   b",
-    "don't we'll I'M", "x'llama 'll", "Zu und.\nDieüauß der.\n", "été à la carte", "<|endoftext|> end", "1,234.5 km²",
+    "don't we'll I'M", "x'llama 'll", "Zu und.\nDieüauß der.\n", "été à la carte", "<|endoftext|> end", "x <|endoftext|> y", "<|endoftext|><|endoftext|>", "a <|endoftext| >\n<|endoftext|>\n b  <|endoftext|>  c", "1,234.5 km²",
     "tab\there\x0bthere", "日本語 テキスト 。", "a\r\nb\r\n\r\nc", "🙂 🙂\n🙂", "\n\n\nx\n \ny", "end \n", "A.B.C ... !!\nWow\n1", "\x1c a\x1d b\x85 c",
     "word " * 3000,
 ]
@@ -26,7 +26,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -49,7 +48,11 @@ ENCODER = Encoder(PATH)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=list(" \n\t\r.,'!-aAbtsléß  　\x1f\x85€漢🙂12"), max_size=14), max_size=5))
+@given(
+    st.lists(
+        st.lists(st.sampled_from([*" \n\t\r.,'!-aAbtsléß  　\x1f\x85€漢🙂12", "<|endoftext|>", "<|endoftext", "|>"]), max_size=14).map("".join), max_size=5
+    )
+)
 def test_encoder_equals_whole_text_on_any_text(plain, texts):
     assert split(*ENCODER.encode(pa.array(texts, pa.string()))) == [plain(t) for t in texts]
 
