@@ -254,7 +254,8 @@ def links(docs: DataFrame, size: int = SHINGLE, similarity: Fraction = SIMILARIT
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: Fraction = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """``docs`` with one row of each group that links hang together: the least doc_id (null last), columns as they are."""
-    found = links(docs, size, similarity, recall)
+    # Staged: both aggregates read it, each with an exchange of its own, so that a text of many copies is spread.
+    found = stage(links(docs, size, similarity, recall), "linked")
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
     first = found.groupBy("label").agg(F.min(row).alias("first")).select("first.*")
     many = found.groupBy("doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("same"))

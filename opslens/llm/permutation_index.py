@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from opslens.llm.common import hash_sample, named, stage
 
 #: Pivots, a bounded sample of the vectors, and how many of them an order keeps.
-PIVOTS = 256
-PREFIX = 96
-#: Share of a shard's vectors that is measured exactly, and least number of them.
-MEASURED = 0.05
-LEAST_MEASURED = 512
+PIVOTS = 512
+PREFIX = 128
+#: Share of a shard's vectors that is measured exactly, and least number of them, in neighbours asked for.
+MEASURED = 0.08
+LEAST_MEASURED = 4
 #: Vectors of a shard, on average, and queries that meet a shard at once.
 SHARD_VECTORS = 4096
 QUERY_BLOCK = 16_384
@@ -115,7 +115,7 @@ def search(
             ids, posted, rows, close = lists["ids"], lists["posted"], lists["rows"], lists["close"]
             vectors = lists["vectors"].reshape(len(ids), -1)
             asked = block.column("vector").combine_chunks().flatten().to_numpy().reshape(len(block), -1)
-            keep = min(len(ids), max(least, neighbours, int(np.ceil(measured * len(ids)))))
+            keep = min(len(ids), max(least * neighbours, int(np.ceil(measured * len(ids)))))
             near = orders(asked, pivots, prefix)
             for q, query_id in enumerate(block.column("vec_id").to_pylist()):
                 files = [slice(posted[p], posted[p + 1]) for p in near[q]]
