@@ -231,9 +231,21 @@ def wide_ratio(above: Column, below: Column, factor: int = 1, scale: int = DIGIT
     return F.when(ready, _bind(F.struct(_carried(above).alias("a"), _carried(below).alias("b")), divide))
 
 
-def wide_units(total: Row | None) -> int:
-    """A wide number that was read, as a Python integer of units of 10^-18."""
-    return 0 if total is None else int(total["whole"]) * UNIT + int(total["fraction"])
+def wide_units(total: Row | Decimal | None) -> int:
+    """A wide number or a DECIMAL that was read, as a Python integer of units of 10^-18."""
+    if total is None:
+        return 0
+    if isinstance(total, Decimal):
+        sign, digits, power = total.as_tuple()
+        return (-1) ** sign * int("".join(map(str, digits))) * 10 ** (DIGITS + power)
+    return int(total["whole"]) * UNIT + int(total["fraction"])
+
+
+def wide_mean(total: Row | Decimal, count: int) -> Decimal:
+    """The mean from a sum that was read, with 18 digits behind the point, half away from zero."""
+    units = wide_units(total)
+    near = (2 * abs(units) + count) // (2 * count)
+    return Decimal(f"{'-' if units < 0 else ''}{near // UNIT}.{near % UNIT:0{DIGITS}d}")
 
 
 def ratio_to(c: Column | str, total: int, factor: int, digits: int, largest: int) -> Column:

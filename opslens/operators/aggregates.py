@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opslens.functions.numeric import average
-from opslens.functions.wide import wide, wide_ratio, wide_sum
-from opslens.operators.ranking import is_whole, running_counts, share_of_total
+from opslens.functions.wide import wide_mean, wide_sum
+from opslens.operators.ranking import share_of_total
+from opslens.operators.selection import median
 
 
 def value_share(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
@@ -88,34 +88,27 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def distribution_stats(df: DataFrame, column: str) -> DataFrame:
-    """One row, ``(mean, median, max)``, from one pass over the rows.
+    """One row, ``(mean, median, max)``; NULL is left out.
 
-    The mean of DECIMAL is exact to 18 digits behind the point, that of DOUBLE is DOUBLE.
-
-    The built-in exact median keeps every distinct value in the memory of one
-    task.  Here values are counted first and staged with the rows before them;
-    the two middle positions are then looked up and no task holds more than its
-    share of the distinct values.
+    The mean of whole numbers and DECIMAL is DECIMAL with 18 digits behind the point, exact, that of DOUBLE is DOUBLE.
+    The median is found by counting (``selection``): the built-in one keeps every distinct value in the memory of one
+    task, and sorting would move them all.  The column is read a few times and nothing but counts is shuffled.
     """
-    present = df.filter(F.col(column).isNotNull()).select(column)
-    placed = running_counts(present, [column])
-    rows = placed.agg(F.sum("key_rows")).first()[0] or 0
-    value = F.col(column)
-
-    def at(position: int) -> Column:
-        covers = (F.col("rows_before") <= position) & (F.col("rows_before") + F.col("key_rows") > position)
-        return F.max(F.when(covers, value.cast("double")))
-
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        mean = F.sum(value * F.col("key_rows")) / F.sum("key_rows")
-    elif is_whole(df.schema[column].dataType):
-        mean = average(F.sum(value.cast("decimal(38,0)") * F.col("key_rows")), F.sum("key_rows"))
-    else:
-        mean = wide_ratio(wide_sum(value, "key_rows"), wide(F.sum("key_rows")))
-    return placed.agg(
-        mean.alias("mean"),
-        ((at((rows - 1) // 2) + at(rows // 2)) / 2).alias("median"),
-        F.max(value).alias("max"),
+    present, value = df.filter(F.col(column).isNotNull()).select(column), F.col(column)
+    kind = df.schema[column].dataType
+    floating = isinstance(kind, (T.DoubleType, T.FloatType))
+    # Sums of up to 20 digits have room for 10^18 rows in the widest DECIMAL.
+    digits, scale = (20, 0) if isinstance(kind, T.IntegralType) else (getattr(kind, "precision", 0), getattr(kind, "scale", 0))
+    narrow = digits <= 20 and scale <= 18
+    total = F.sum(value.cast("double")) if floating else F.sum(value.cast(f"decimal(38,{scale})")) if narrow else wide_sum(value)
+    found = present.agg(total.alias("total"), F.count(value).alias("n"), F.max(value).alias("max")).first()
+    mean = None
+    if found["n"]:
+        mean = found["total"] / found["n"] if floating else wide_mean(found["total"], found["n"])
+    return df.sparkSession.range(1).select(
+        F.lit(mean).cast("double" if floating else "decimal(38,18)").alias("mean"),
+        F.lit(median(present, column)).cast("double").alias("median"),
+        F.lit(found["max"]).cast(kind).alias("max"),
     )
 
 

@@ -1,6 +1,7 @@
 import itertools
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opslens import operators as op
-from opslens.operators import network
+from opslens.operators import network, selection
 
 
 def rows(df):
@@ -284,3 +285,38 @@ def test_hot_key_is_one_row_in_the_anti_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     anti = text[text.index("LeftAnti") :]
     assert anti.index("HashAggregate") < anti.rindex("Exchange")
+
+
+@pytest.mark.parametrize(
+    ("dtype", "values"),
+    [
+        ("bigint", [2**63 - 1, 2**63 - 2, -(2**63), 2**63 - 3, 0, 5, 5]),
+        ("int", [7]),
+        ("double", [1e308, -1e308, 1e-300, 2e-300, 5e-324, 0.0, float("inf"), float("-inf")]),
+        ("double", [float("nan"), float("nan"), 1.0]),
+        ("double", [float("inf"), float("-inf")]),
+        ("decimal(38,18)", [Decimal("1e-18"), Decimal("2e-18"), Decimal("99999999999999999999"), Decimal("3e-18"), Decimal("-4")]),
+        ("decimal(38,18)", [Decimal("99999999999999999999.000000000000000001"), Decimal("99999999999999999999.000000000000000003")]),
+        ("decimal(10,2)", [Decimal("1.10"), Decimal("1.30"), None, Decimal("2.50"), Decimal("9.99")]),
+        ("float", [0.5, 1.5, 1.5, 4.0]),
+    ],
+)
+def test_median_by_counting(spark, dtype, values):
+    df = spark.createDataFrame([(v,) for v in values * 3], f"x {dtype}").repartition(3)
+    want = df.select(F.expr("median(x)")).first()[0]
+    ordered = sorted((v for v in values * 3 if v is not None), key=lambda v: (v != v, v))
+    middle = [float(ordered[(len(ordered) - 1) // 2]), float(ordered[len(ordered) // 2])]
+    got = op.distribution_stats(df, "x").first()["median"]
+    assert got == sum(middle) / 2 or got != got and sum(middle) != sum(middle)
+    assert got != got or abs(got) > 1e300 or got == pytest.approx(float(want))
+
+
+def test_median_moves_counts_only(spark, monkeypatch):
+    """Many distinct values, few bins: several passes, equal to the sorted middle."""
+    monkeypatch.setattr(selection, "BINS", 8)
+    rng = random.Random(4)
+    values = [rng.randrange(10**12) for _ in range(5001)]
+    df = spark.createDataFrame([(v,) for v in values], "x bigint")
+    assert selection.median(df, "x") == sorted(values)[2500]
+    assert selection.median(df.limit(0), "x") is None
+    assert tuple(op.distribution_stats(df.limit(0), "x").first()) == (None, None, None)
