@@ -16,6 +16,7 @@ from opslens.operators.joins import left_detail, look_up
 from opslens.operators.network import hop_network
 from opslens.operators.ranking import global_rank, grand_total
 from opslens.plans import vocabulary as v
+from opslens.sources.keyed import KeyedTable, per_key, with_groups
 from opslens.sources.staging import stage
 
 def _rows() -> Column:
@@ -86,9 +87,11 @@ def incident_listing(flights: DataFrame, airlines: DataFrame, incidents: DataFra
     )
 
 
-def carrier_revenue(airlines: DataFrame, flights: DataFrame, passengers: DataFrame) -> DataFrame:
+def carrier_revenue(airlines: DataFrame, flights: DataFrame, passengers: DataFrame | KeyedTable) -> DataFrame:
     """Trips, passengers, revenue, mean price and class counts per carrier."""
-    per_trip = passengers.groupBy("flight_id").agg(
+    per_trip = per_key(
+        passengers,
+        "flight_id",
         F.count("passenger_id").alias("pax"),
         F.sum("ticket_price_idr").alias("revenue"),
         F.count("ticket_price_idr").alias("priced"),
@@ -103,7 +106,7 @@ def carrier_revenue(airlines: DataFrame, flights: DataFrame, passengers: DataFra
         F.sum("business").alias("business"),
         F.sum("economy").alias("economy"),
     ]
-    per_code = flights.select("flight_id", "airline_iata").join(per_trip, "flight_id").groupBy("airline_iata").agg(*sums)
+    per_code = with_groups(flights.select("flight_id", "airline_iata"), per_trip).groupBy("airline_iata").agg(*sums)
     sums[0] = F.sum("trips").alias("trips")
     per_name = _with_carrier(per_code, airlines).groupBy("airline_name").agg(*sums)
     return per_name.select(
@@ -239,10 +242,12 @@ def hub_network(airports: DataFrame, flights: DataFrame, root: str, max_hops: in
     )
 
 
-def revenue_share(flights: DataFrame, airlines: DataFrame, passengers: DataFrame) -> DataFrame:
+def revenue_share(flights: DataFrame, airlines: DataFrame, passengers: DataFrame | KeyedTable) -> DataFrame:
     """Trips ranked by revenue, with premium share and share of all revenue."""
     business = F.when(F.col("ticket_class") == "Business", F.col("ticket_price_idr")).otherwise(0)
-    per_trip = passengers.groupBy("flight_id").agg(
+    per_trip = per_key(
+        passengers,
+        "flight_id",
         _rows().alias("total_pax"),
         F.sum("ticket_price_idr").alias("total_revenue_idr"),
         F.sum(business).alias("business_revenue"),
@@ -252,7 +257,7 @@ def revenue_share(flights: DataFrame, airlines: DataFrame, passengers: DataFrame
         "flight_id", "flight_number", "airline_iata", "origin_iata", "destination_iata", "flight_status"
     )
     earned = stage(
-        _with_carrier(trips.join(per_trip, "flight_id"), airlines).drop("airline_iata"), "trip-revenue"
+        _with_carrier(with_groups(trips, per_trip), airlines).drop("airline_iata"), "trip-revenue"
     )
     total = grand_total(earned, "total_revenue_idr")
     ranked = global_rank(earned, ["total_revenue_idr"], "revenue_rank", staged=True)
@@ -343,17 +348,18 @@ def busiest_places(airports: DataFrame, flights: DataFrame) -> DataFrame:
     )
 
 
-def safety_matrix(incidents: DataFrame, flights: DataFrame, airlines: DataFrame) -> DataFrame:
+def safety_matrix(incidents: DataFrame | KeyedTable, flights: DataFrame, airlines: DataFrame) -> DataFrame:
     """Incidents per carrier and severity, carriers ranked by the grave ones."""
     cells = [(s, f"{s.lower()}_incidents") for s in v.SEVERITY_ORDER]
-    per_trip = incidents.groupBy("flight_id").agg(
+    per_trip = per_key(
+        incidents,
+        "flight_id",
         *[F.count_if(F.col("severity") == s).alias(name) for s, name in cells],
         _rows().alias("total_incidents"),
     )
     names = [name for _, name in cells] + ["total_incidents"]
     per_code = (
-        flights.select("flight_id", "airline_iata")
-        .join(per_trip, "flight_id")
+        with_groups(flights.select("flight_id", "airline_iata"), per_trip)
         .groupBy("airline_iata")
         .agg(*[F.sum(n).alias(n) for n in names])
     )

@@ -11,6 +11,7 @@ from opslens.operators.joins import full_merge, look_up
 from opslens.operators.ranking import top_k
 from opslens.operators.rows import drop_null_subset
 from opslens.plans import vocabulary as v
+from opslens.sources.keyed import KeyedTable, per_key, with_groups
 from opslens.sources.staging import stage
 
 
@@ -91,11 +92,11 @@ def delay_stats(flights: DataFrame, status: str = "Delayed") -> DataFrame:
     return stats.select(*[F.col(c).alias(f"{c}_delay") for c in stats.columns])
 
 
-def revenue_pivot(passengers: DataFrame, flights: DataFrame, airlines: DataFrame) -> DataFrame:
+def revenue_pivot(passengers: DataFrame | KeyedTable, flights: DataFrame, airlines: DataFrame) -> DataFrame:
     """Revenue per carrier with one column per ticket class found; empty cells are 0."""
-    per_trip = passengers.groupBy("flight_id", "ticket_class").agg(F.sum("ticket_price_idr").alias("revenue"))
+    per_trip = per_key(passengers, "flight_id", F.sum("ticket_price_idr").alias("revenue"), also=("ticket_class",))
     per_code = (
-        per_trip.join(flights.select("flight_id", "airline_iata"), "flight_id")
+        with_groups(flights.select("flight_id", "airline_iata"), per_trip)
         .groupBy("airline_iata", "ticket_class")
         .agg(F.sum(F.col("revenue").cast("decimal(38,0)")).alias("revenue"))
     )
@@ -118,15 +119,15 @@ def loyalty_mix(passengers: DataFrame, column: str = "is_frequent_flyer") -> Dat
     )
 
 
-def incident_pivot(incidents: DataFrame, flights: DataFrame, airlines: DataFrame) -> DataFrame:
+def incident_pivot(incidents: DataFrame | KeyedTable, flights: DataFrame, airlines: DataFrame) -> DataFrame:
     """Incidents per carrier with one column per known severity, always all four.
 
     A carrier whose incidents all have an unknown severity stays, with zeros.
     Trips are unique on their id, so the join repeats no incident.
     """
-    per_trip = incidents.groupBy("flight_id", "severity").agg(F.count(F.lit(1)).alias("n"))
+    per_trip = per_key(incidents, "flight_id", F.count(F.lit(1)).alias("n"), also=("severity",))
     per_code = (
-        per_trip.join(flights.select("flight_id", "airline_iata"), "flight_id", "left")
+        with_groups(flights.select("flight_id", "airline_iata"), per_trip, "right")
         .groupBy("airline_iata", "severity")
         .agg(F.sum("n").alias("n"))
     )

@@ -1,5 +1,6 @@
 """Schemas, readers, writers and staged tables."""
 
+from opslens.sources.keyed import KeyedTable, per_key, store_keyed, with_groups
 from opslens.sources.staging import release, stage, staging_root
 from opslens.sources.tables import (
     append_rows,
@@ -15,16 +16,20 @@ from opslens.sources.tables import (
 )
 
 __all__ = [
+    "KeyedTable",
     "append_rows",
     "load_profile",
     "load_tables",
+    "per_key",
     "preview",
     "read_csv",
     "read_database",
     "read_parquet",
     "replace_table",
     "stage",
+    "store_keyed",
     "staging_root",
     "vacuum_table",
+    "with_groups",
     "write_csv",
 ]

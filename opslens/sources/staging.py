@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_ROOT: dict[str, str] = {}
 #: Folders made by this process, oldest first, by application.
 _MADE: dict[str, list[str]] = {}
+#: Names in the catalog of folders that are tables there.
+_NAMES: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -42,6 +44,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def catalogued(path: str, name: str) -> None:
+    """Remember that the folder is a table of the catalog, which goes with the folder."""
+    _NAMES[path] = name
+
+
 def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
     """Delete the staged tables of this application and return how many folders went.
 
@@ -53,6 +60,8 @@ def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
         if keep and path.rsplit("/", 1)[1].startswith(keep):
             left.append(path)
             continue
+        if path in _NAMES:
+            spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop(path)}")
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         gone += place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     _MADE[app] = left

@@ -316,7 +316,7 @@ def trips_incidents(w: Warehouse) -> DataFrame:
 
 @query
 def carrier_revenue(w: Warehouse) -> DataFrame:
-    return reports.carrier_revenue(*w.cleaned("airlines", "flights", "passengers"))
+    return reports.carrier_revenue(*w.cleaned("airlines", "flights"), w.keyed("passengers"))
 
 
 @query
@@ -346,7 +346,7 @@ def hub_network(w: Warehouse) -> DataFrame:
 
 @query
 def revenue_share(w: Warehouse) -> DataFrame:
-    return reports.revenue_share(*w.cleaned("flights", "airlines", "passengers"))
+    return reports.revenue_share(*w.cleaned("flights", "airlines"), w.keyed("passengers"))
 
 
 @query
@@ -361,7 +361,7 @@ def busiest_places(w: Warehouse) -> DataFrame:
 
 @query
 def safety_matrix(w: Warehouse) -> DataFrame:
-    return reports.safety_matrix(*w.cleaned("incidents", "flights", "airlines"))
+    return reports.safety_matrix(w.keyed("incidents"), *w.cleaned("flights", "airlines"))
 
 
 @query
@@ -408,7 +408,7 @@ def delay_stats(w: Warehouse) -> DataFrame:
 
 @query
 def revenue_pivot(w: Warehouse) -> DataFrame:
-    return summaries.revenue_pivot(*w.cleaned("passengers", "flights", "airlines"))
+    return summaries.revenue_pivot(w.keyed("passengers"), *w.cleaned("flights", "airlines"))
 
 
 @query
@@ -418,7 +418,7 @@ def loyalty_mix(w: Warehouse) -> DataFrame:
 
 @query
 def incident_pivot(w: Warehouse) -> DataFrame:
-    return summaries.incident_pivot(*w.cleaned("incidents", "flights", "airlines"))
+    return summaries.incident_pivot(w.keyed("incidents"), *w.cleaned("flights", "airlines"))
 
 
 @query

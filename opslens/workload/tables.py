@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opslens.plans import cleaning
+from opslens.sources.keyed import KeyedTable, store_keyed
 from opslens.sources.staging import stage
 from opslens.workload.raw_views import FLIGHT_ORDER, PASSENGER_ORDER, raw_table
 
+#: Facts, stored by the trip they belong to.
+FACTS = ["flights", "passengers", "incidents"]
 TABLES = ["airports", "airlines", "flights", "passengers", "incidents"]
 
-_BUILT: dict[tuple[str, str, str], DataFrame] = {}
+_BUILT: dict[tuple[str, str, str], DataFrame | KeyedTable] = {}
 
 
 class Warehouse:
@@ -31,10 +34,10 @@ class Warehouse:
         view = raw_table(self.spark, self.sf_dir, name)
         return self._stored(f"raw-{name}", lambda: view) if name == "flights" else view
 
-    def _stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _stored(self, label: str, build: Callable[[], DataFrame], store: Callable = stage) -> DataFrame | KeyedTable:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
         if key not in _BUILT:
-            _BUILT[key] = stage(build(), label)
+            _BUILT[key] = store(build(), label)
         return _BUILT[key]
 
     def pipeline(self, name: str) -> DataFrame:
@@ -56,7 +59,15 @@ class Warehouse:
 
     def clean(self, name: str) -> DataFrame:
         """The stored cleaned table."""
-        return self._stored(f"clean-{name}", lambda: self.pipeline(name))
+        return self.keyed(name).rows if name in FACTS else self._stored(f"clean-{name}", lambda: self.pipeline(name))
+
+    def keyed(self, name: str) -> KeyedTable:
+        """The stored cleaned fact table, by trip."""
+
+        def store(df: DataFrame, label: str) -> KeyedTable:
+            return store_keyed(df, "flight_id", label, unique=name == "flights")
+
+        return self._stored(f"clean-{name}", lambda: self.pipeline(name), store)
 
     def cleaned(self, *names: str) -> list[DataFrame]:
         return [self.clean(n) for n in names]
