@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslens.functions.numeric import percent_rounded
+from opslens.operators.ledger import KEPT
 
 
 def quality_report(tables: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -33,3 +34,21 @@ def quality_report(tables: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFra
         )
 
     return reduce(DataFrame.unionByName, [line(n, r, c) for n, (r, c) in tables.items()])
+
+
+def all_ledgers(ledgers: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, reason, n_rows)``: why rows of each table went, and how many were kept."""
+    return reduce(
+        DataFrame.unionByName,
+        [ledger.select(F.lit(name).alias("table_name"), "reason", "n_rows") for name, ledger in ledgers.items()],
+    )
+
+
+def ledger_report(ledgers: Mapping[str, DataFrame]) -> DataFrame:
+    """The lines of ``quality_report`` out of ledgers, so that no table is read; a table without rows has no line."""
+    kept = F.sum(F.when(F.col("reason") == KEPT, F.col("n_rows")).otherwise(0))
+    counted = all_ledgers(ledgers).groupBy("table_name").agg(F.sum("n_rows").alias("raw_rows"), kept.alias("clean_rows"))
+    removed = F.col("raw_rows") - F.col("clean_rows")
+    return counted.select(
+        "table_name", "raw_rows", "clean_rows", removed.alias("removed"), percent_rounded(removed, "raw_rows").alias("removed_pct")
+    )

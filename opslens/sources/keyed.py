@@ -48,17 +48,19 @@ def _bucketed(df: DataFrame, key: str, label: str, buckets: int) -> DataFrame:
 
 
 def store_keyed(
-    df: DataFrame, key: str, label: str, buckets: int | None = None, unique: bool = False, least_hot: int = LEAST_HOT
-) -> KeyedTable:
+    df: DataFrame, key: str, label: str, buckets: int | None = None, unique: bool = False, stored: bool = False,
+    least_hot: int = LEAST_HOT,
+) -> KeyedTable:
     """Store ``df`` by ``key`` in ``buckets`` (the session's shuffle partitions by default).
 
-    ``unique`` tells that no key repeats: rows then go to their buckets without being counted.
+    ``unique`` tells that no key repeats: rows then go to their buckets without being counted.  ``stored`` tells that
+    ``df`` is read from a stored table with little work, and need not be stored before it is read more than once.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if unique:
         return KeyedTable(key, _bucketed(df, key, label, buckets))
-    landed = stage(df, f"landed-{label}")
+    landed = df if stored else stage(df, f"landed-{label}")
     limit = max(landed.count() / buckets, least_hot)
     # One row per key and task reaches the exchange.
     counts = landed.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))

@@ -127,6 +127,49 @@ _CLEAN: dict[str, tuple[list[str], str]] = {
 }
 
 
+#: Per table: the row's own reason, what makes rows copies, which of them is first, and reasons that other tables give.
+_LEDGERS = [
+    (
+        "airports",
+        "CASE WHEN coalesce(iata_code, '') = '' THEN 'no code' WHEN airport_name IS NULL THEN 'no name' END",
+        "upper(trim(iata_code))",
+        "airport_id",
+        "NULL",
+    ),
+    (
+        "airlines",
+        "CASE WHEN iata_code IS NULL THEN 'no code' WHEN trim(coalesce(airline_name, '')) = '' THEN 'no name' END",
+        "upper(trim(iata_code))",
+        "airline_id",
+        "NULL",
+    ),
+    (
+        "flights",
+        "CAST(NULL AS VARCHAR)",
+        "flight_id",
+        "l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity",
+        """CASE WHEN coalesce(upper(trim(airline_iata)) NOT IN (SELECT iata_code FROM airlines), true) THEN 'unknown carrier'
+            WHEN upper(trim(airline_iata)) NOT IN (SELECT iata_code FROM airlines WHERE status = 'active') THEN 'inactive carrier'
+            WHEN coalesce(upper(trim(origin_iata)) NOT IN (SELECT iata_code FROM airports), true) THEN 'unknown origin'
+            WHEN coalesce(upper(trim(destination_iata)) NOT IN (SELECT iata_code FROM airports), true) THEN 'unknown destination' END""",
+    ),
+    (
+        "passengers",
+        "CASE WHEN trim(coalesce(full_name, '')) = '' THEN 'no name' WHEN flight_id IS NULL THEN 'no trip' END",
+        "flight_id, lower(trim(full_name)), booking_date",
+        "passenger_id, l_suppkey, l_quantity",
+        "NULL",
+    ),
+    (
+        "incidents",
+        "CASE WHEN flight_id IS NULL THEN 'no trip' END",
+        "flight_id, incident_type, lower(description)",
+        "incident_id",
+        "CASE WHEN flight_id NOT IN (SELECT flight_id FROM flights) THEN 'unknown trip' END",
+    ),
+]
+
+
 def _needs(name: str) -> list[str]:
     if name.startswith("raw_"):
         return [name]
@@ -413,6 +456,15 @@ _SQL: dict[str, tuple[str, str]] = {
             for t in TABLES
         ),
     ),
+    "reject_ledger": (
+        "raw_airports raw_airlines raw_flights raw_passengers raw_incidents airlines airports flights",
+        " UNION ALL ".join(
+            f"""SELECT '{t}' AS table_name, coalesce(own, CASE WHEN place > 1 THEN 'duplicate' END, {later}, 'kept') AS reason, count(*) AS n_rows
+            FROM (SELECT *, row_number() OVER (PARTITION BY own, {keys} ORDER BY {order}) AS place
+                  FROM (SELECT *, {own} AS own FROM raw_{t}) a) b GROUP BY ALL"""
+            for t, own, keys, order, later in _LEDGERS
+        ),
+    ),
     "trip_frame": (
         "flights airlines airports",
         """SELECT f.* REPLACE (CAST(cargo_kg AS DOUBLE) AS cargo_kg, CAST(passengers_onboard AS DOUBLE) AS passengers_onboard,
@@ -532,6 +584,8 @@ _SQL: dict[str, tuple[str, str]] = {
         (SELECT count(o_orderpriority) AS t FROM orders) q""",
     ),
 }
+# The same figures, counted anew instead of read from ledgers.
+_SQL["counted_quality"] = _SQL["quality_report"]
 
 
 def all_oracle_sql() -> dict[str, str]:

@@ -366,9 +366,19 @@ def safety_matrix(w: Warehouse) -> DataFrame:
 
 @query
 def quality_report(w: Warehouse) -> DataFrame:
+    return quality.ledger_report({name: w.ledger(name) for name in TABLES})
+
+
+@query
+def counted_quality(w: Warehouse) -> DataFrame:
     return quality.quality_report({name: (w.raw(name), w.clean(name)) for name in TABLES})
 
 
+@query
+def reject_ledger(w: Warehouse) -> DataFrame:
+    return quality.all_ledgers({name: w.ledger(name) for name in TABLES})
+
+
 # --- chart summaries ---------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opslens.operators.ledger import kept_rows, reject_ledger
 from opslens.plans import cleaning
 from opslens.sources.keyed import KeyedTable, store_keyed
 from opslens.sources.staging import stage
@@ -57,17 +58,44 @@ class Warehouse:
             return cleaning.clean_incidents(raw, self.clean("flights"))
         raise KeyError(name)
 
+    def tagged(self, name: str) -> cleaning.Tagged:
+        """The raw rows of a table, tagged with why they go."""
+        raw = self.raw(name)
+        if name == "airports":
+            return cleaning.tag_airports(raw)
+        if name == "airlines":
+            return cleaning.tag_airlines(raw)
+        if name == "flights":
+            return cleaning.tag_flights(raw, self.clean("airlines"), self.clean("airports"), first_by=FLIGHT_ORDER)
+        if name == "passengers":
+            return cleaning.tag_passengers(raw, first_by=PASSENGER_ORDER)
+        if name == "incidents":
+            return cleaning.tag_incidents(raw, self.clean("flights"))
+        raise KeyError(name)
+
+    def _kept(self, name: str) -> DataFrame:
+        """The cleaned rows of a table, read from its tagged rows, which leave their ledger as well."""
+        rows, columns = self.tagged(name)
+        rows = stage(rows, f"tagged-{name}")
+        self._stored(f"clean-{name}-ledger", lambda: reject_ledger(rows))
+        return kept_rows(rows).select(*columns)
+
+    def ledger(self, name: str) -> DataFrame:
+        """How many raw rows of a table were kept, and how many went for which reason."""
+        self.clean(name)
+        return _BUILT[self.spark.sparkContext.applicationId, self.sf_dir, f"clean-{name}-ledger"]
+
     def clean(self, name: str) -> DataFrame:
         """The stored cleaned table."""
-        return self.keyed(name).rows if name in FACTS else self._stored(f"clean-{name}", lambda: self.pipeline(name))
+        return self.keyed(name).rows if name in FACTS else self._stored(f"clean-{name}", lambda: self._kept(name))
 
     def keyed(self, name: str) -> KeyedTable:
         """The stored cleaned fact table, by trip."""
 
         def store(df: DataFrame, label: str) -> KeyedTable:
-            return store_keyed(df, "flight_id", label, unique=name == "flights")
+            return store_keyed(df, "flight_id", label, unique=name == "flights", stored=True)
 
-        return self._stored(f"clean-{name}", lambda: self.pipeline(name), store)
+        return self._stored(f"clean-{name}", lambda: self._kept(name), store)
 
     def cleaned(self, *names: str) -> list[DataFrame]:
         return [self.clean(n) for n in names]

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from opslens.plans import cleaning, reports, summaries
 from opslens.plans import vocabulary as v
-from opslens.plans.quality import quality_report
+from opslens.operators.ledger import kept_rows, reject_ledger
+from opslens.plans.quality import all_ledgers, ledger_report, quality_report
 from opslens.sources.schemas import clean_schema, raw_schema
 
 RAW = {
@@ -172,6 +173,46 @@ def test_quality_report(raw, clean):
     ]
 
 
+@pytest.fixture(scope="module")
+def tagged(raw, clean):
+    return {
+        "airports": cleaning.tag_airports(raw["airports"]),
+        "airlines": cleaning.tag_airlines(raw["airlines"]),
+        "flights": cleaning.tag_flights(raw["flights"], clean["airlines"], clean["airports"]),
+        "passengers": cleaning.tag_passengers(raw["passengers"]),
+        "incidents": cleaning.tag_incidents(raw["incidents"], clean["flights"]),
+    }
+
+
+@pytest.mark.parametrize("name", list(RAW))
+def test_tagged_rows_that_are_kept_are_the_cleaned_ones(tagged, clean, name):
+    rows, columns = tagged[name]
+    got = kept_rows(rows).select(*columns)
+    assert got.columns == clean[name].columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, clean[name].collect()))
+
+
+def test_ledgers(tagged, raw, clean):
+    ledgers = {name: reject_ledger(rows) for name, (rows, _) in tagged.items()}
+    got = {(r.table_name, r.reason): r.n_rows for r in all_ledgers(ledgers).collect()}
+    assert {k: n for k, n in got.items() if k[0] == "airports"} == {
+        ("airports", "kept"): 4, ("airports", "no code"): 2, ("airports", "no name"): 1, ("airports", "duplicate"): 1,
+    }
+    assert got["airlines", "no name"] == 1 and got["airlines", "duplicate"] == 1 and got["airlines", "no code"] == 1
+    assert got["flights", "inactive carrier"] == 1 and got["flights", "unknown destination"] == 1
+    report = ledger_report(ledgers).orderBy("table_name")
+    counted = quality_report({name: (raw[name], clean[name]) for name in RAW}).orderBy("table_name")
+    assert listed(report) == listed(counted)
+
+
+def test_strict_parsing_skips_rows_that_go(spark):
+    """As in the pipeline, a bad number fails the job only in a row that is kept."""
+    rows = [(1, None, "x", "c", "p", "bad", None, None, None), (2, "AA", "Alpha", "c", "p", "1.5", None, None, None)]
+    raw = spark.createDataFrame(rows, raw_schema("airports"))
+    tagged, columns = cleaning.tag_airports(raw, "strict")
+    assert [r.airport_id for r in kept_rows(tagged).select(*columns).collect()] == [2]
+
+
 def test_flight_listing_order_and_defaults(clean):
     got = listed(reports.flight_listing(clean["flights"], clean["airlines"], clean["airports"]))
     assert [r[0] for r in got] == ["Q1-3", "Q1-1", "Q1-2", "T1-1", "U1-1", "T1-2"]
