@@ -256,7 +256,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[list[Cond
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns as they are."""
-    marked = named(docs, doc_id="doc_id", text="text").join(_marks(labels), "doc_id", "left_semi")
-    known = stage(statistics(marked).filter(~base_failed()), "labelled-statistics")
-    rules = learn(known.join(_marks(labels), "doc_id"))
-    return statistics(docs, with_row=True).filter(~base_failed() & verdict(rules)).select("_row.*")
+    # Rows are written with their counts, so texts are counted once and only ids meet the labels.
+    found = stage(statistics(docs, with_row=True).filter(~base_failed()), "row-statistics")
+    rules = learn(found.withColumn("doc_id", F.col("_row.doc_id")).drop("_row").join(_marks(labels), "doc_id"))
+    return found.filter(verdict(rules)).select("_row.*")
