@@ -20,7 +20,7 @@ import pyarrow as pa
 #: Id that ends each document.
 END_ID = 0
 #: Pieces that a worker remembers before it starts anew, about 150 bytes each.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
 #: Bytes after which a space does not start a piece: they may begin a Unicode space.
 _SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 

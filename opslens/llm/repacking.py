@@ -28,6 +28,8 @@ GROUP_PIECES = 16_384
 #: Groups with a gap that exchange documents, on average.
 FAN = 8
 
+#: Text that is encoded at once, in bytes.
+_SLICE = 1 << 20
 #: Group numbers of a round start at a multiple of one, sequence numbers of a group at a multiple of the other.
 _ROUND, _BINS = 1 << 36, 1 << 22
 
@@ -44,7 +46,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:
-            for some in batch_slices(batch, "text"):
+            for some in batch_slices(batch, "text", _SLICE):
                 ids, offsets = with_end(*encode.encode(some.column("text")))
                 ids, lengths = ids.astype("<u4"), np.diff(offsets)
                 counts = -(-lengths // capacity)
