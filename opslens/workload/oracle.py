@@ -532,6 +532,15 @@ _SQL: dict[str, tuple[str, str]] = {
         FROM busy LEFT JOIN airports ON origin_iata = iata_code
         ORDER BY total DESC, origin_iata LIMIT 7""",
     ),
+    "distinct_by_level": (
+        "flights",
+        """SELECT airline_iata, flight_status,
+        CASE WHEN grouping(airline_iata) + grouping(flight_status) = 2 THEN 3 WHEN grouping(airline_iata) = 1 THEN 2
+        ELSE grouping(flight_status) END::BIGINT AS level,
+        count(DISTINCT (origin_iata, destination_iata)) FILTER (WHERE origin_iata IS NOT NULL AND destination_iata IS NOT NULL)
+        AS routes, count(DISTINCT flight_number) AS numbers, count(DISTINCT CAST(scheduled_dep AS DATE)) AS days
+        FROM flights GROUP BY GROUPING SETS ((airline_iata, flight_status), (airline_iata), (flight_status), ())""",
+    ),
     "group_distinct": ("flights", "SELECT origin_iata, destination_iata FROM flights GROUP BY ALL"),
     "global_rank": (
         "",

@@ -439,6 +439,21 @@ def top_places(w: Warehouse) -> DataFrame:
 # --- operators on their own --------------------------------------------------
 
 
+@query
+def distinct_by_level(w: Warehouse) -> DataFrame:
+    """Routes, flight numbers and days per carrier and status, per carrier, per status and in all, from one set of bitmaps."""
+    trips = w.clean("flights").select(
+        "airline_iata",
+        "flight_status",
+        "origin_iata",
+        "destination_iata",
+        "flight_number",
+        F.to_date("scheduled_dep").cast("string").alias("day"),
+    )
+    counts = {"routes": ["origin_iata", "destination_iata"], "numbers": ["flight_number"], "days": ["day"]}
+    return op.distinct_counts(trips, [["airline_iata", "flight_status"], ["airline_iata"], ["flight_status"], []], counts)
+
+
 @query
 def group_distinct(w: Warehouse) -> DataFrame:
     return op.distinct_groups(w.clean("flights"), ["origin_iata", "destination_iata"])
