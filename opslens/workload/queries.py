@@ -28,12 +28,26 @@ DRIVER_TABLES = [
 HUB = "NATION_0"
 
 
+#: Marks a column of whole DECIMAL, some of which are beyond BIGINT.
+_BEYOND = "beyond_bigint"
+
+
+def whole_numbers(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a column of whole DECIMAL marked to stay so if one of its values is beyond BIGINT; ``df`` is run for that."""
+    most = df.agg(F.max(F.abs(column))).first()[0]
+    if most is None or most < 2**63:
+        return df
+    return df.withColumn(column, F.col(column).alias(column, metadata={_BEYOND: True}))
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Result types any SQL engine prints alike: BIGINT, DOUBLE and text."""
+    """Result types any SQL engine prints alike: BIGINT, DOUBLE and text; whole numbers beyond BIGINT stay DECIMAL."""
     columns = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
+        if field.metadata.get(_BEYOND):
+            pass
+        elif isinstance(field.dataType, T.DecimalType):
             c = c.cast("bigint" if field.dataType.scale == 0 else "double")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
@@ -336,7 +350,7 @@ def incident_totals(w: Warehouse) -> DataFrame:
 
 @query
 def route_performance(w: Warehouse) -> DataFrame:
-    return reports.route_performance(*w.cleaned("flights", "airports"))
+    return whole_numbers(reports.route_performance(*w.cleaned("flights", "airports")), "total_cargo_kg")
 
 
 @query

@@ -1,5 +1,8 @@
 """Every registered query against DuckDB on the smallest tables."""
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 from compare import difference, duck, duck_rows, spark_rows
 
@@ -10,6 +13,28 @@ from opslens.workload.queries import all_queries
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module")
+def heavy(spark, tmp_path_factory):
+    """A thousand trips on one route, of a weight that passes BIGINT in all, and two that are rejected."""
+    at, day = str(tmp_path_factory.mktemp("heavy")), dt.datetime(2023, 5, 1)
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{at}/{name}.parquet")
+    lines = [(i, 2, 3 if i < 1000 else 4 if i == 1000 else 10, 1, 4.0, 1.0, day) for i in range(1002)]
+    tables = {
+        "supplier": ([(3, 2), (4, 24), (10, 2)], "s_suppkey long, s_nationkey int"),
+        "customer": ([(0, 1)], "c_custkey long, c_nationkey int"),
+        "orders": ([(i, 0, day) for i in range(1002)], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "lineitem": (
+            lines + lines[:7],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_shipdate timestamp",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{at}/{name}.parquet")
+    return at
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
@@ -40,3 +65,9 @@ def test_dimensions_are_not_forced_into_memory(spark):
             assert "BroadcastHashJoin" not in text and "NestedLoop" not in text, name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_totals_beyond_bigint_are_whole(spark, heavy):
+    (row,) = entry.queries()["route_performance"](spark, heavy).collect()
+    assert row.total_flights == 1000 and row.total_cargo_kg == Decimal(1000 * 9999999999999999 + 500)
+    assert dict(entry.queries()["route_performance"](spark, SF).dtypes)["total_cargo_kg"] == "bigint"
