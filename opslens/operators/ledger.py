@@ -41,20 +41,33 @@ def tag_rows(
         return df.select(reason.alias(_REASON), F.lit(1).cast("long").alias(_ROWS), F.lit(0).cast("long").alias(_COPIES), *columns)
     names = [f"__key{i}" for i in range(len(keys))]
     places = [f(F.col(c)) for c in order for f in (F.isnull, lambda c: c)]
+    # A column that is a key is carried once: the rows that are sorted and exchanged here are the widest of a build.
+    known = {k: F.col(n) for k, n in zip(keys, names, strict=True) if isinstance(k, str)}
+    carried = [c for c in columns if c not in known] or list(columns)
+    row = [known.get(c, F.col("__row")[c]).alias(c) for c in columns]
     tagged = df.select(
         reason.alias(_REASON),
         *[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names, strict=True)],
-        F.struct(*columns).alias("__row"),
+        F.struct(*carried).alias("__row"),
         F.struct(*[p.alias(f"p{i}") for i, p in enumerate(places)]).alias("__place"),
     ).withColumns({n: F.when(fine, F.col(n)) for n in [*names, "__row"]})
-    groups = tagged.groupBy(_REASON, *names).agg(
+    # Without rules the groups are those of the keys alone, so their rows lie by these keys afterwards.
+    group = [_REASON, *names] if rules else names
+    groups = tagged.groupBy(*group).agg(
         F.count(F.lit(1)).alias("__n"), F.min_by("__row", "__place").alias("__row")
     )
+    if not rules:
+        return groups.select(
+            reason.alias(_REASON),
+            F.lit(1).cast("long").alias(_ROWS),
+            (F.col("__n") - 1).cast("long").alias(_COPIES),
+            *row,
+        )
     return groups.select(
         _REASON,
         F.when(fine, F.lit(1)).otherwise(F.col("__n")).cast("long").alias(_ROWS),
         F.when(fine, F.col("__n") - 1).otherwise(0).cast("long").alias(_COPIES),
-        "__row.*",
+        *row,
     )
 
 
@@ -65,16 +78,18 @@ def tag_reference(
     missing: str,
     where: Column | None = None,
     refused: str | None = None,
+    tag: str = _REASON,
 ) -> DataFrame:
     """Tag rows whose key is not in a dimension as ``missing``, and where no row of that key meets ``where`` as ``refused``.
 
-    The dimension is cut to a row per key first, so the join multiplies nothing; its left side can be split.
+    The dimension is cut to a row per key first, so the join multiplies nothing; its left side can be split.  ``tag`` is
+    the column of tags, which a row keeps that has one.
     """
     fits = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     keys = dimension.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()], fits.alias("__fits"))
     joined = tagged.join(keys.groupBy(*on).agg(F.max("__fits").alias("__fits")), list(on), "left")
     why = F.when(F.col("__fits").isNull(), F.lit(missing)).when(~F.col("__fits"), F.lit(refused or missing))
-    return joined.withColumn(_REASON, F.coalesce(_REASON, why)).select(*tagged.columns)
+    return joined.withColumn(tag, F.coalesce(tag, why)).select(*tagged.columns)
 
 
 def kept_rows(tagged: DataFrame) -> DataFrame:

@@ -175,12 +175,15 @@ def tag_flights(
     typed = _typed_flights(raw, mode, first_by)
     columns = [c for c in typed.columns if not c.startswith("__order_")]
     keys = None if first_by is None else ["flight_id"]
-    tagged = tag_rows(typed, [], columns, keys, [f"__order_{c}" for c in first_by or ()])
+    # References are told from a row alone, so they are looked up before the rows are dealt by trip and can be stored as they lie.
+    typed = typed.withColumn("__why", F.lit(None).cast("string"))
     active = F.col("status") == v.ACTIVE_STATUS
     on = {"airline_iata": "iata_code"}
-    tagged = tag_reference(tagged, airlines, on, "unknown carrier", active, "inactive carrier")
-    tagged = tag_reference(tagged, airports, {"origin_iata": "iata_code"}, "unknown origin")
-    tagged = tag_reference(tagged, airports, {"destination_iata": "iata_code"}, "unknown destination")
+    typed = tag_reference(typed, airlines, on, "unknown carrier", active, "inactive carrier", tag="__why")
+    typed = tag_reference(typed, airports, {"origin_iata": "iata_code"}, "unknown origin", tag="__why")
+    typed = tag_reference(typed, airports, {"destination_iata": "iata_code"}, "unknown destination", tag="__why")
+    tagged = tag_rows(typed, [], [*columns, "__why"], keys, [f"__order_{c}" for c in first_by or ()])
+    tagged = tagged.withColumn("__reason", F.col("__why")).drop("__why")
     return tagged, [F.col(c) for c in columns]
 
 

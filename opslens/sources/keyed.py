@@ -38,28 +38,31 @@ class KeyedTable:
         return self.even if self.hot is None else self.even.unionByName(self.hot)
 
 
-def _bucketed(df: DataFrame, key: str, label: str, buckets: int) -> DataFrame:
+def _bucketed(df: DataFrame, key: str, label: str, buckets: int, placed: bool = False) -> DataFrame:
     spark = df.sparkSession
     path, name = new_path(spark, label), f"default.opslens_{uuid.uuid4().hex}"
     # Partitioned as the buckets are, so that a bucket is one file.
-    df.repartition(buckets, F.col(key)).write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    dealt = df if placed else df.repartition(buckets, F.col(key))
+    dealt.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
     catalogued(path, name)
     return spark.table(name)
 
 
 def store_keyed(
     df: DataFrame, key: str, label: str, buckets: int | None = None, unique: bool = False, stored: bool = False,
-    least_hot: int = LEAST_HOT,
+    least_hot: int = LEAST_HOT, placed: bool = False,
 ) -> KeyedTable:
     """Store ``df`` by ``key`` in ``buckets`` (the session's shuffle partitions by default).
 
     ``unique`` tells that no key repeats: rows then go to their buckets without being counted.  ``stored`` tells that
     ``df`` is read from a stored table with little work, and need not be stored before it is read more than once.
+    ``placed`` tells that ``df`` was grouped by ``key`` alone, so its rows lie in the buckets of the session's shuffle
+    partitions already and are written where they lie; a wrong word costs files, not rows.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if unique:
-        return KeyedTable(key, _bucketed(df, key, label, buckets))
+        return KeyedTable(key, _bucketed(df, key, label, buckets, placed))
     landed = df if stored else stage(df, f"landed-{label}")
     limit = max(landed.count() / buckets, least_hot)
     # One row per key and task reaches the exchange.

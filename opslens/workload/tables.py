@@ -16,6 +16,10 @@ from opslens.workload.raw_views import FLIGHT_ORDER, PASSENGER_ORDER, raw_table
 FACTS = ["flights", "passengers", "incidents"]
 TABLES = ["airports", "airlines", "flights", "passengers", "incidents"]
 
+#: Sizes of a task's input.  Rows of the builds are sorted whole, and take some thirty times their compressed size: what
+#: Spark reads by default into one task would be sorted on disk.
+TASK_SIZES = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
 _BUILT: dict[tuple[str, str, str], DataFrame | KeyedTable] = {}
 
 
@@ -29,11 +33,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        for key, value in TASK_SIZES.items():
+            spark.conf.set(key, value)
 
     def raw(self, name: str) -> DataFrame:
-        """A raw table; trips are put together from four sources and so are landed."""
-        view = raw_table(self.spark, self.sf_dir, name)
-        return self._stored(f"raw-{name}", lambda: view) if name == "flights" else view
+        """A raw table, put together from its sources whenever it is read: storing texts costs more than joining again."""
+        return raw_table(self.spark, self.sf_dir, name)
 
     def _stored(self, label: str, build: Callable[[], DataFrame], store: Callable = stage) -> DataFrame | KeyedTable:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
@@ -80,6 +85,13 @@ class Warehouse:
         self._stored(f"clean-{name}-ledger", lambda: reject_ledger(rows))
         return kept_rows(rows).select(*columns)
 
+    def _trips(self) -> KeyedTable:
+        """Cleaned trips.  Tagged rows are grouped by trip, so they are stored by trip at once, and read without the rejects."""
+        rows, columns = self.tagged("flights")
+        stored = store_keyed(rows, "flight_id", "clean-flights", unique=True, placed=True)
+        self._stored("clean-flights-ledger", lambda: reject_ledger(stored.rows))
+        return KeyedTable(stored.key, kept_rows(stored.rows).select(*columns))
+
     def ledger(self, name: str) -> DataFrame:
         """How many raw rows of a table were kept, and how many went for which reason."""
         self.clean(name)
@@ -93,8 +105,10 @@ class Warehouse:
         """The stored cleaned fact table, by trip."""
 
         def store(df: DataFrame, label: str) -> KeyedTable:
-            return store_keyed(df, "flight_id", label, unique=name == "flights", stored=True)
+            return store_keyed(df, "flight_id", label, stored=True)
 
+        if name == "flights":
+            return self._stored("clean-flights", self._trips, lambda trips, _: trips)
         return self._stored(f"clean-{name}", lambda: self._kept(name), store)
 
     def cleaned(self, *names: str) -> list[DataFrame]:

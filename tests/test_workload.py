@@ -2,13 +2,16 @@
 
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from compare import difference, duck, duck_rows, spark_rows
 
 import __spark_entry__ as entry
 from opslens.workload.oracle import all_oracle_sql
+from opslens.sources import staging
 from opslens.workload.queries import all_queries
+from opslens.workload.tables import Warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +74,23 @@ def test_totals_beyond_bigint_are_whole(spark, heavy):
     (row,) = entry.queries()["route_performance"](spark, heavy).collect()
     assert row.total_flights == 1000 and row.total_cargo_kg == Decimal(1000 * 9999999999999999 + 500)
     assert dict(entry.queries()["route_performance"](spark, SF).dtypes)["total_cargo_kg"] == "bigint"
+
+
+def test_trips_are_stored_once(spark, heavy):
+    """No copy of their raw texts or of their tagged rows, no second exchange, and not more files than buckets."""
+    app = spark.sparkContext.applicationId
+    w = Warehouse(spark, heavy)
+    w.refresh()
+    before = len(staging._MADE.get(app, []))
+    assert w.clean("flights").count() == 1000
+    reasons = {r.reason: r.n_rows for r in w.ledger("flights").collect()}
+    assert reasons == {"kept": 1000, "duplicate": 7, "unknown destination": 1, "inactive carrier": 1}
+    made = [path for path in staging._MADE[app][before:] if "flights" in path]
+    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in made] == ["clean-flights", "clean-flights-ledger"]
+    assert len(list(Path(made[0]).glob("*.parquet"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_tasks_of_a_build_get_little_input(spark):
+    Warehouse(spark, SF)
+    for size in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        assert spark.conf.get(size).lower() in ("16m", "16mb", str(16 << 20)), size
