@@ -182,6 +182,8 @@ def tag_flights(
     typed = tag_reference(typed, airlines, on, "unknown carrier", active, "inactive carrier", tag="__why")
     typed = tag_reference(typed, airports, {"origin_iata": "iata_code"}, "unknown origin", tag="__why")
     typed = tag_reference(typed, airports, {"destination_iata": "iata_code"}, "unknown destination", tag="__why")
+    # What is never read of a rejected trip is not dealt either.
+    typed = typed.withColumns({c: F.when(F.col("__why").isNull(), F.col(c)) for c in columns if c != "flight_id"})
     tagged = tag_rows(typed, [], [*columns, "__why"], keys, [f"__order_{c}" for c in first_by or ()])
     tagged = tagged.withColumn("__reason", F.col("__why")).drop("__why")
     return tagged, [F.col(c) for c in columns]

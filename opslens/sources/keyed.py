@@ -23,6 +23,8 @@ from opslens.sources.staging import catalogued, new_path, stage
 
 #: Below this number of rows a key is never stored apart.
 LEAST_HOT = 10_000
+#: Keys are counted in so many slots first; only keys of slots that are hot as a whole are counted one by one.
+SLOTS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -65,8 +67,14 @@ def store_keyed(
         return KeyedTable(key, _bucketed(df, key, label, buckets, placed))
     landed = df if stored else stage(df, f"landed-{label}")
     limit = max(landed.count() / buckets, least_hot)
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    slots = landed.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+    # Fewer than ``buckets``, as each has more rows than the table has per bucket.
+    crowded = [row["slot"] for row in slots.collect()]
+    if not crowded:
+        return KeyedTable(key, _bucketed(landed, key, label, buckets))
     # One row per key and task reaches the exchange.
-    counts = landed.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))
+    counts = landed.filter(slot.isin(crowded)).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))
     hot_keys = stage(counts.filter(F.col("n") > limit).select("_hot"), f"hot-keys-{label}")
     if hot_keys.isEmpty():
         return KeyedTable(key, _bucketed(landed, key, label, buckets))

@@ -118,3 +118,17 @@ def test_release_drops_the_table(spark, facts):
     assert len({t.name for t in spark.catalog.listTables()} - before) == 1
     assert release(spark, keep=tuple(others)) == 1
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_keys_are_counted_one_by_one_only_where_many_rows_meet(spark, tmp_path):
+    """An even table leaves no table of key counts, a hot key and NULL are found as before."""
+    app = spark.sparkContext.applicationId
+    even = spark.range(30_000).select(F.col("id").alias("key"), F.lit(1).alias("x"))
+    before = len(staging._MADE.get(app, []))
+    stored = store_keyed(even, "key", "even-keys", buckets=4, least_hot=500)
+    made = [path.rsplit("/", 1)[1] for path in staging._MADE[app][before:]]
+    assert stored.hot is None and stored.rows.count() == 30_000 and not [m for m in made if m.startswith("hot-keys")]
+    skewed = even.withColumn("key", F.when(F.col("key") < 9_000, F.lit(7)).when(F.col("key") < 18_000, None).otherwise(F.col("key")))
+    stored = store_keyed(skewed, "key", "skewed-keys", buckets=4, least_hot=500)
+    assert {r.key: r.n for r in stored.hot.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()} == {7: 9_000, None: 9_000}
+    assert stored.even.count() == 12_000
