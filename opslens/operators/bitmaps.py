@@ -37,23 +37,29 @@ def number_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _packed(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sets from rows of (keys, bucket, position, bits), of which position or bits is NULL."""
+    """Sets from rows of (keys, bucket, position, bits), of which position or bits is NULL; one row of bits per set at most."""
     group = [*keys, "bucket"]
-    # One exchange, before the bitmaps are made: both aggregates run where the rows are.
-    placed = cells.repartition(*group)
-    both = placed.groupBy(*group).agg(
-        F.collect_set("position").alias("few"),
-        F.array(F.bitmap_construct_agg("position"), F.bitmap_or_agg("bits")).alias("parts"),
+    # A task sends one list per set.  Over many groups most sets are a few numbers: only larger ones become bitmaps, since
+    # an aggregate of bitmaps keeps 4 KB for every group, also where it finds nothing.
+    listed = cells.groupBy(*group).agg(
+        F.collect_set("position").alias("few"), F.first("bits", ignorenulls=True).alias("bits")
     )
-    whole = (
-        both.select(*group, "few", F.explode("parts").alias("bits"))
+    # A bitmap that came in has more than FEW numbers, so a small set is whole in its list.
+    small = F.col("bits").isNull() & (F.size("few") <= FEW)
+    none = F.lit(None).cast("binary")
+    lists = listed.filter(small).select(*group, F.size("few").cast("bigint").alias("n"), "few", none.alias("bits"))
+    one_by_one = F.transform("few", lambda p: F.struct(p.alias("position"), none.alias("bits")))
+    came = F.array(F.struct(F.lit(None).cast("bigint").alias("position"), F.col("bits")))
+    # All of this runs where the rows are: both branches read the one exchange above.
+    both = (
+        listed.filter(~small)
+        .select(*group, F.inline(F.concat(one_by_one, came)))
         .groupBy(*group)
-        .agg(F.first("few").alias("few"), F.bitmap_or_agg("bits").alias("bits"))
-        .withColumn("n", F.bitmap_count("bits"))
+        .agg(F.array(F.bitmap_construct_agg("position"), F.bitmap_or_agg("bits")).alias("parts"))
     )
-    # A bitmap that came in has more than FEW numbers, so a small set is whole in its list.
-    small = F.col("n") <= FEW
-    return whole.select(*group, "n", F.when(small, F.col("few")).alias("few"), F.when(~small, F.col("bits")).alias("bits"))
+    whole = both.select(*group, F.explode("parts").alias("bits")).groupBy(*group).agg(F.bitmap_or_agg("bits").alias("bits"))
+    bitmaps = whole.select(*group, F.bitmap_count("bits").alias("n"), F.lit(None).cast("array<bigint>").alias("few"), "bits")
+    return bitmaps.unionByName(lists)
 
 
 def value_sets(df: DataFrame, keys: Sequence[str], columns: Sequence[str], numbers: DataFrame | None = None) -> DataFrame:
@@ -65,8 +71,9 @@ def value_sets(df: DataFrame, keys: Sequence[str], columns: Sequence[str], numbe
     numbers = number_values(df, columns) if numbers is None else numbers
     theirs = numbers.select(*[F.col(c).alias(f"__value_{c}") for c in columns], _NUMBER)
     same = [F.col(c) == F.col(f"__value_{c}") for c in columns]
-    # Cut to one row per group and value and task before any exchange; the fact leads the join, so a hot value is split.
-    found = df.select(*dict.fromkeys([*keys, *columns])).distinct().join(theirs, same)
+    # Few values are broadcast, and rows are cut to one list per set and task before any exchange; of many values the fact
+    # leads the join, so a hot value is split.
+    found = df.select(*dict.fromkeys([*keys, *columns])).join(theirs, same)
     cells = found.select(
         *keys,
         F.bitmap_bucket_number(_NUMBER).alias("bucket"),
@@ -79,7 +86,7 @@ def value_sets(df: DataFrame, keys: Sequence[str], columns: Sequence[str], numbe
 def merge_sets(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The sets of a coarser grouping, by ``keys`` out of those of ``sets``.  All sets of a table, with no keys, are one."""
     group = [*keys, "bucket"]
-    few = sets.filter("bits IS NULL").select(*group, F.explode("few").alias("position")).distinct()
+    few = sets.filter("bits IS NULL").select(*group, F.explode("few").alias("position"))
     many = sets.filter("bits IS NOT NULL").groupBy(*group).agg(F.bitmap_or_agg("bits").alias("bits"))
     cells = few.withColumn("bits", F.lit(None).cast("binary")).unionByName(
         many.withColumn("position", F.lit(None).cast("bigint")).select(*few.columns, "bits")
@@ -107,8 +114,9 @@ def distinct_counts(df: DataFrame, levels: Sequence[Sequence[str]], counts: Mapp
         next(k for k in range(place - 1, -1, -1) if set(level) <= set(levels[k])) for place, level in enumerate(levels[1:], 1)
     ]
     needed = dict.fromkeys([*finest, *[c for columns in counts.values() for c in columns]])
-    # Read once for the groups, and for each count by its numbers and its sets.
-    table = stage(df.select(*needed).distinct(), "to-count")
+    # Read once for the groups, and for each count by its numbers and its sets.  Each of these cuts repeated rows itself.
+    table = stage(df.select(*needed), "to-count")
+    every = stage(table.select(*finest).distinct(), "groups") if finest else table
     known: dict[str, list[DataFrame]] = {}
     for name, columns in counts.items():
         known[name] = []
@@ -121,7 +129,7 @@ def distinct_counts(df: DataFrame, levels: Sequence[Sequence[str]], counts: Mapp
         level = list(level)
         # A level without columns is a group of its own constant, and there even without rows.
         key = level or [_ALL]
-        groups = table.select(*level).distinct() if level else table.sparkSession.range(1).select(F.lit(0).alias(_ALL))
+        groups = every.select(*level).distinct() if level else table.sparkSession.range(1).select(F.lit(0).alias(_ALL))
         for name in counts:
             sets = known[name][place] if level else known[name][place].withColumn(_ALL, F.lit(0))
             own = set_counts(sets, key, name).select(*[F.col(k).alias(f"__{k}") for k in key], name)

@@ -91,3 +91,19 @@ def test_rows_are_not_expanded(spark):
     # Sets are built after the exchange of numbers, with no exchange of bitmaps.
     plan = bm.value_sets(df, ["a"], ["x"])._jdf.queryExecution().executedPlan().toString()
     assert "bitmap" in plan.split("Exchange hashpartitioning(a")[0] and "bitmap_construct" not in plan.split("Exchange hashpartitioning(a")[1]
+
+
+def test_small_sets_are_never_bitmaps(spark):
+    """An aggregate of lists and bitmaps kept 4 KB for every group of one value, and sorted them."""
+    df = spark.range(3000).selectExpr("id % 1000 AS a", "id AS x").unionAll(spark.range(2000).selectExpr("-1L AS a", "id AS x"))
+    numbers = bm.number_values(df, ["x"])
+    sets = bm.value_sets(df, ["a"], ["x"], numbers)
+    merged = bm.merge_sets(sets, ["a"])
+    for made in (sets, merged):
+        assert {r.a: r.n for r in bm.set_counts(made, ["a"], "n").collect()} == {a: 3 for a in range(1000)} | {-1: 2000}
+        made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        lists = [line for line in plan.splitlines() if "collect_set" in line]
+        assert lists and not any("bitmap_construct" in line or "bitmap_or" in line for line in lists)
+        # Lists and bitmaps are made of one exchange.
+        assert "ReusedExchange" in plan
