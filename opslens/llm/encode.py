@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,13 @@ _ASCII_OTHER = ~_LETTER
 _ASCII_OTHER[0x80:] = False
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
+#: The classes above as flags of a byte, so that a text's bytes are looked up once.
+_SPACE, _BREAK, _OPENING, _LETTERS, _OTHERS, _SEEN = (np.uint8(1 << i) for i in range(6))
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x20], _CLASS[0x0A] = _SPACE, _BREAK
+for _flag, _bytes in ((_OPENING, _OPENS), (_LETTERS, _LETTER), (_OTHERS, _ASCII_OTHER), (_SEEN, _VISIBLE)):
+    _CLASS[_bytes] |= _flag
+_CLASS[0x20] &= ~_OTHERS
 #: New pieces that are encoded as one text.
 _JOIN = 64
 
@@ -51,6 +59,14 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[ends[0] : ends[-1]], ends - ends[0]
 
 
+def _bytes_list(pieces: pa.LargeBinaryArray) -> list[bytes]:
+    """``to_pylist`` of an array without nulls, cut out of its bytes at once."""
+    _, offsets, data = pieces.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(pieces) + 1 + pieces.offset)[pieces.offset :].tolist()
+    whole = data.to_pybytes()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]  # noqa: B905
+
+
 class Encoder:
     """Encodes batches of texts; one per Python worker and vocabulary file (see ``encoder``)."""
 
@@ -148,10 +164,12 @@ class Encoder:
     def _encode_plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.empty(0, self.id_type), np.zeros(len(offsets), np.int64)
+        kind = np.frombuffer(data.tobytes().translate(_CLASS.tobytes()), np.uint8)
+        has = {f: (kind & f) != 0 for f in (_SPACE, _BREAK, _OPENING, _LETTERS, _OTHERS, _SEEN)}
         opens = np.zeros(len(data), dtype=bool)
-        opens[:-1] = (data[:-1] == 0x20) & _OPENS[data[1:]]
-        opens[1:] |= _LETTER[data[:-1]] & _ASCII_OTHER[data[1:]] & (data[1:] != 0x20)
-        opens[2:] |= (data[1:-1] == 0x0A) & _VISIBLE[data[:-2]] & _OPENS[data[2:]]
+        opens[:-1] = has[_SPACE][:-1] & has[_OPENING][1:]
+        opens[1:] |= has[_LETTERS][:-1] & has[_OTHERS][1:]
+        opens[2:] |= has[_BREAK][1:-1] & has[_SEEN][:-2] & has[_OPENING][2:]
         filled = np.flatnonzero(np.diff(offsets))
         opens[offsets[filled]] = True
         # A space that ends a text is followed by another text's byte; it opens no piece.
@@ -161,13 +179,15 @@ class Encoder:
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]
         ).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
+        distinct = _bytes_list(pieces.dictionary)
         if len(self.index) + len(distinct) > self.cache_pieces:
             self._forget()
-        new = [p for p in distinct if p not in self.index]
-        if new:
+        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(known < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown]
             self._learn(new)
-        known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+            known[unknown] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
         at = known[pieces.indices.to_numpy()]
         starts = self.starts[at]
         lengths = self.starts[at + 1] - starts
@@ -179,10 +199,11 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for the vocabulary file at ``path``."""
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> Encoder:
+    """This worker's encoder for the vocabulary file at ``path``, which remembers ``cache_pieces`` from now on."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].cache_pieces = cache_pieces
     return _ENCODERS[path]
 
 

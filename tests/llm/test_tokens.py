@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from opslens.llm import encode as encoding
 from opslens.llm import repacking, wavelet
 from opslens.llm.common import new_path
 from opslens.llm.encode import Encoder, with_end
@@ -77,6 +78,36 @@ def test_wavelet_matrix(n):
             assert m.select(token, len(places) - 1) == places[-1]
 
 
+@pytest.mark.parametrize("n", [wavelet._BLOCK - 1, wavelet._BLOCK, 2 * wavelet._BLOCK + 1])
+def test_planes_over_several_blocks(n):
+    ids = np.random.default_rng(n).integers(0, 50257, n).astype(np.uint16)
+    m = wavelet.WaveletMatrix.build(ids, 16)
+    assert (m.decode() == ids).all() and (m.access(np.arange(n)) == ids).all()
+    here = ids
+    for level, zeros in zip(range(15, -1, -1), m.zeros, strict=True):
+        bit = (here >> level) & 1
+        assert zeros == (bit == 0).sum()
+        here = here[np.argsort(bit, kind="stable")]
+
+
+def test_rare_words_of_earlier_tasks_are_not_encoded_again(monkeypatch):
+    """The files' encoder has room for more pieces than that of packing, and a smaller limit holds again afterwards."""
+    assert wavelet.CACHE_PIECES >= 4 * encoding.CACHE_PIECES
+    monkeypatch.setattr(encoding, "_ENCODERS", {})
+    first, second = ["".join(f" {w}{i}" for i in "abcdef") for w in ("one", "two")]
+
+    def learned(limit):
+        encode, pieces = encoding.encoder(PATH, limit), []
+        known = encode._learn
+        monkeypatch.setattr(encode, "_learn", lambda new: (pieces.extend(new), known(new))[1])
+        for text in (first, second, first):
+            encode.encode(pa.array([text]))
+        monkeypatch.setattr(encode, "_learn", known)
+        return len(pieces)
+
+    assert [learned(20), learned(8), learned(20)] == [12, 18, 6]
+
+
 ROWS = [(i * 3 % 40, t, "x") for i, t in enumerate(ODD)] + [(5, "same row", "x")] * 3 + [(None, "no id", "x"), (None, None, None)]
 SCHEMA = "doc_id long, text string, start string"
 
