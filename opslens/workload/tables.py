@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,44 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+#: Tagging sorts every row that a task reads, so tasks read less there: by default what they read would grow with the table
+#: up to the limit above, and a compressed megabyte of bookings or incidents is some 30 MB of sorted rows.
+TAG_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "4m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+}
+
+#: Bytes of the sources per shuffle partition, at most.  With a fixed number of partitions a task grows with the tables.
+PARTITION_SOURCE = 16 << 20
+#: Sources of the facts.
+SOURCES = ["lineitem", "orders", "events"]
+
 _BUILT: dict[tuple[str, str, str], DataFrame | KeyedTable] = {}
+_PARTITIONS: dict[tuple[str, str], int] = {}
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The session with these settings, and as it was afterwards."""
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def source_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the stored sources of the facts; one that is not there has none."""
+    total = 0
+    for name in SOURCES:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(place):
+            total += files.getContentSummary(place).getLength()
+    return total
 
 
 class Warehouse:
@@ -39,6 +77,12 @@ class Warehouse:
         self.sf_dir = sf_dir
         for key, value in SETTINGS.items():
             spark.conf.set(key, value)
+        # Never fewer than the session has.  Facts of one folder are stored in as many buckets, so they still meet in place.
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _PARTITIONS:
+            _PARTITIONS[key] = -(-source_bytes(spark, sf_dir) // PARTITION_SOURCE)
+        if _PARTITIONS[key] > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(_PARTITIONS[key]))
 
     def raw(self, name: str) -> DataFrame:
         """A raw table, put together from its sources whenever it is read: storing texts costs more than joining again."""
@@ -85,14 +129,16 @@ class Warehouse:
     def _kept(self, name: str) -> DataFrame:
         """The cleaned rows of a table, read from its tagged rows, which leave their ledger as well."""
         rows, columns = self.tagged(name)
-        rows = stage(rows, f"tagged-{name}")
+        with _settings(self.spark, TAG_SETTINGS):
+            rows = stage(rows, f"tagged-{name}")
         self._stored(f"clean-{name}-ledger", lambda: reject_ledger(rows))
         return kept_rows(rows).select(*columns)
 
     def _trips(self) -> KeyedTable:
         """Cleaned trips.  Tagged rows are grouped by trip, so they are stored by trip at once, and read without the rejects."""
         rows, columns = self.tagged("flights")
-        stored = store_keyed(rows, "flight_id", "clean-flights", unique=True, placed=True)
+        with _settings(self.spark, TAG_SETTINGS):
+            stored = store_keyed(rows, "flight_id", "clean-flights", unique=True, placed=True)
         self._stored("clean-flights-ledger", lambda: reject_ledger(stored.rows))
         return KeyedTable(stored.key, kept_rows(stored.rows).select(*columns))
 
@@ -123,3 +169,4 @@ class Warehouse:
         app = self.spark.sparkContext.applicationId
         for key in [k for k in _BUILT if k[:2] == (app, self.sf_dir)]:
             del _BUILT[key]
+        _PARTITIONS.pop((app, self.sf_dir), None)

@@ -10,6 +10,7 @@ from compare import difference, duck, duck_rows, spark_rows
 import __spark_entry__ as entry
 from opslens.workload.oracle import all_oracle_sql
 from opslens.sources import staging
+from opslens.workload import tables
 from opslens.workload.queries import all_queries
 from opslens.workload.tables import Warehouse
 
@@ -94,3 +95,41 @@ def test_tasks_of_a_build_get_little_input(spark):
     Warehouse(spark, SF)
     for size in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
         assert spark.conf.get(size).lower() in ("16m", "16mb", str(16 << 20)), size
+
+
+def test_tasks_that_tag_rows_stay_small(spark, monkeypatch):
+    """What a tagging task sorts depends on neither the size of a file nor that of all tables."""
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    seen = []
+
+    def watched(fn):
+        def store(*args, **kwargs):
+            label = next(a for a in args if isinstance(a, str) and "-" in a)
+            seen.append((label, spark.conf.get(keys[1])))
+            return fn(*args, **kwargs)
+
+        return store
+
+    monkeypatch.setattr(tables, "stage", watched(tables.stage))
+    monkeypatch.setattr(tables, "store_keyed", watched(tables.store_keyed))
+    monkeypatch.setattr(tables, "_BUILT", {})
+    monkeypatch.setattr(tables, "_PARTITIONS", {})
+    size = tables.source_bytes(spark, SF)
+    monkeypatch.setattr(tables, "PARTITION_SOURCE", size // 13)
+    try:
+        w = Warehouse(spark, SF)
+        assert int(spark.conf.get(keys[0])) == -(-size // (size // 13)) > int(before[keys[0]])
+        for name in tables.TABLES:
+            w.clean(name)
+        tagging = {"tagged-airports", "tagged-airlines", "tagged-passengers", "tagged-incidents"}
+        assert {label for label, split in seen if split == "4m"} == tagging | {"clean-flights"}
+        assert [spark.conf.get(k) for k in keys[1:]] == ["16m", "16m"]
+        assert w.ledger("passengers").agg({"n_rows": "sum"}).first()[0] == w.raw("passengers").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_sources_that_are_not_there_have_no_size(spark, tmp_path):
+    assert tables.source_bytes(spark, str(tmp_path)) == 0
